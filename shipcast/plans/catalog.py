@@ -31,12 +31,42 @@ def query(key: str, sql: str | None = None, extra_ctes: str = ""):
             raise ValueError(f"duplicate query id {key}")
         QUERIES[key] = fn
         if sql is not None:
-            ORACLE[key] = with_views(sql, extra_ctes)
+            ORACLE[key] = with_views(stable_rounding(sql), extra_ctes)
         return fn
 
     return deco
 
 
+def stable_rounding(sql: str, places: int = 6) -> str:
+    """Rewrite every ``round(<expr>, 6)`` as ``round(round(<expr>, 9), 6)``, the twin of
+    ``finalize``: values that sit on a rounding tie (exact binary fractions such as
+    8.1015625) but differ between engines in the last bit are first snapped onto the tie, so
+    both engines round them the same way."""
+    out, i, pat = [], 0, "round("
+    while True:
+        j = sql.find(pat, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(pat)
+        while depth and k < len(sql):
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(pat):k - 1]
+        # split off the last top-level argument
+        d, cut = 0, -1
+        for idx, ch in enumerate(inner):
+            d += {"(": 1, ")": -1}.get(ch, 0)
+            if ch == "," and d == 0:
+                cut = idx
+        if cut >= 0 and inner[cut + 1:].strip() == str(places):
+            expr = stable_rounding(inner[:cut], places)
+            out.append(sql[i:j] + f"round(round({expr}, 9), {places})")
+        else:
+            out.append(sql[i:j] + pat + stable_rounding(inner, places) + ")")
+        i = k
+
+
 @lru_cache(maxsize=8)
 def _market(spark: SparkSession, sf_dir: str) -> Market:
     return load_market(spark, sf_dir)
@@ -69,7 +99,7 @@ def finalize(df: DataFrame, places: int = 6) -> DataFrame:
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), places)
+            c = F.round(F.round(c.cast("double"), 9), places)
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(f.dataType, T.DateType):
