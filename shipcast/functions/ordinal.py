@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .quantile import BUCKETS, MAX_PASSES, _limit
 
@@ -77,3 +78,24 @@ def kth_key(df: DataFrame, cols: Sequence[Column | str], k: int, n: int | None =
             if not names:
                 return tuple(prefix)
         n = data.count()
+
+
+def global_running_sum(df: DataFrame, order: Sequence[Column], value: str) -> DataFrame:
+    """Global 1-based rank (``__rank``) and running sum of ``value`` (``__cum``) under a total
+    order, without a one-partition window: rows are range-partitioned on the order (balanced
+    by sampling; the order must be total, e.g. end with a unique id), each partition computes
+    its local running values, and the per-partition totals (one row per partition) give the
+    offsets through a window over that tiny table."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = df.repartitionByRange(parts, *order).withColumn("__pid", F.spark_partition_id())
+    lw = Window.partitionBy("__pid").orderBy(*order)
+    local = r.select("*", F.row_number().over(lw).alias("__lrank"),
+                     F.sum(value).over(lw.rowsBetween(Window.unboundedPreceding, 0)).alias("__lsum"))
+    tot = local.groupBy("__pid").agg(F.max("__lrank").alias("__pcnt"), F.sum(value).alias("__psum"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("__pid", F.coalesce(F.sum("__pcnt").over(before), F.lit(0)).alias("__roff"),
+                     F.coalesce(F.sum("__psum").over(before), F.lit(0)).alias("__soff"))
+    # ``off`` has one row per partition (bounded by the partition count): broadcast it
+    out = local.join(F.broadcast(off), "__pid")
+    return out.select(*df.columns, (F.col("__roff") + F.col("__lrank")).alias("__rank"),
+                      (F.col("__soff") + F.col("__lsum")).alias("__cum"))

@@ -35,4 +35,7 @@ def with_views(body: str, extra_ctes: str = "") -> str:
     ctes = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in VIEWS.items())
     if extra_ctes:
         ctes = ctes + ",\n" + extra_ctes
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":  # merge the body's own CTE list into ours
+        return f"WITH {ctes},\n{stripped[5:]}"
     return f"WITH {ctes}\n{body}"
