@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_features, q_reports, q_split  # noqa: F401
+from . import q_features, q_reports, q_split, q_text  # noqa: F401
 from .catalog import ORACLE, QUERIES
 
 
