@@ -19,6 +19,7 @@ from ..functions import timeops as t
 from ..functions.exprs import bucket, bucket_order, clip_between
 from ..functions.ordinal import global_running_sum
 from ..functions.quantile import quantiles
+from ..functions.scalars import scalars
 from ..sources.tables import Market
 
 # fixed values of the reference: bins, labels, thresholds
@@ -165,12 +166,11 @@ def status_counts(orders: DataFrame) -> DataFrame:
 def monthly_volume(orders: DataFrame) -> DataFrame:
     """AG-24: orders per purchase month, with the total and the date range."""
     ts = F.col("order_purchase_timestamp")
-    g = orders.agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    g = scalars(orders.agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("lo"), F.max(ts).alias("hi")))
     return orders.groupBy(t.year_month(ts).alias("year_month")).agg(
         F.count(F.lit(1)).alias("n_orders")).select(
-        "year_month", "n_orders", g.select("n").scalar().alias("total_orders"),
-        F.to_date(g.select("lo").scalar()).alias("first_date"),
-        F.to_date(g.select("hi").scalar()).alias("last_date"))
+        "year_month", "n_orders", g["n"].alias("total_orders"),
+        F.to_date(g["lo"]).alias("first_date"), F.to_date(g["hi"]).alias("last_date"))
 
 
 def month_status_pivot(orders: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
@@ -206,7 +206,8 @@ def describe(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
     q = quantiles(df, col, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, keys)
     if keys:
         return base.join(q, keys, "left")
-    return base.select("*", *[q.select(c).scalar().alias(c) for c in ("p25", "p50", "p75")])
+    qs = scalars(q)
+    return base.select("*", *[qs[c].alias(c) for c in ("p25", "p50", "p75")])
 
 
 def late_summary(delivered: DataFrame) -> DataFrame:
@@ -214,8 +215,8 @@ def late_summary(delivered: DataFrame) -> DataFrame:
     rate = delivered.agg((F.avg(F.col("is_late").cast("int")) * 100).alias("late_rate_pct"),
                          F.count_if("is_late").alias("n_late"),
                          F.count(F.lit(1)).alias("n_delivered"))
-    d = describe(delivered, "delay_days")
-    return rate.select("*", *[d.select(c).scalar().alias(f"delay_{c}")
+    d = scalars(describe(delivered, "delay_days"))
+    return rate.select("*", *[d[c].alias(f"delay_{c}")
                              for c in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
@@ -397,8 +398,8 @@ def revenue_pareto(sellers: DataFrame) -> DataFrame:
     seller share. The running sum is computed over range partitions, not one partition."""
     ranked = global_running_sum(sellers.select("seller_id", "total_revenue"),
                                 [F.desc("total_revenue"), F.asc("seller_id")], "total_revenue")
-    total = sellers.agg(F.sum("total_revenue")).scalar()
-    n = sellers.agg(F.count(F.lit(1))).scalar()
+    g = scalars(sellers.agg(F.sum("total_revenue").alias("total"), F.count(F.lit(1)).alias("n")))
+    total, n = g["total"], g["n"]
     return ranked.select("seller_id", "total_revenue", F.col("__rank").alias("seller_rank"),
                          (F.col("__cum") / total * 100).alias("cum_revenue_pct"),
                          (F.col("__rank") / n * 100).alias("seller_pct"))
@@ -494,17 +495,16 @@ def histogram(df: DataFrame, col: str, bins: int, keys: Sequence[str] = (),
     if keys:
         rng = v.groupBy(*keys).agg(*stats)
     else:  # one global range: min / max / n enter as scalar subqueries
-        one = v.agg(*stats)
-        rng = df.sparkSession.range(1).select(*[one.select(c).scalar().alias(c)
-                                                for c in ("__mn", "__mx", "__n")])
+        one = scalars(v.agg(*stats))
+        rng = df.sparkSession.range(1).select(*[one[c].alias(c) for c in ("__mn", "__mx", "__n")])
     same = F.col("__mx") == F.col("__mn")
     rng = rng.select(*keys, "__n", F.when(same, F.col("__mn") - 0.5).otherwise(F.col("__mn")).alias("__lo"),
                      F.when(same, F.col("__mx") + 0.5).otherwise(F.col("__mx")).alias("__hi"))
     if keys:
         j = v.join(rng, keys)
     else:
-        r1 = rng.select("__lo", "__hi")
-        j = v.select("__x", r1.select("__lo").scalar().alias("__lo"), r1.select("__hi").scalar().alias("__hi"))
+        r1 = scalars(rng.select("__lo", "__hi"))
+        j = v.select("__x", r1["__lo"].alias("__lo"), r1["__hi"].alias("__hi"))
     idx = F.least(F.floor((F.col("__x") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins),
                   F.lit(bins - 1))
     counts = j.groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -526,9 +526,11 @@ def readiness_summary(m: Market) -> DataFrame:
     sellers = seller_churn(seller_table(m))
     a = d.agg((F.avg(F.col("is_late").cast("double")) * 100).alias("late_rate_pct"),
               F.count(F.lit(1)).alias("n_delivered"))
-    late_score = df_rev.where(F.col("is_late")).agg(F.avg("review_score")).scalar()
-    ontime_score = df_rev.where(~F.col("is_late")).agg(F.avg("review_score")).scalar()
-    churn = sellers.agg(F.avg(F.col("likely_churned").cast("double")) * 100).scalar()
-    n_sellers = sellers.agg(F.count(F.lit(1))).scalar()
+    sc = scalars(df_rev.agg(F.avg(F.when(F.col("is_late"), F.col("review_score"))).alias("late"),
+                            F.avg(F.when(~F.col("is_late"), F.col("review_score"))).alias("ontime")))
+    late_score, ontime_score = sc["late"], sc["ontime"]
+    ch = scalars(sellers.agg((F.avg(F.col("likely_churned").cast("double")) * 100).alias("churn"),
+                             F.count(F.lit(1)).alias("n")))
+    churn, n_sellers = ch["churn"], ch["n"]
     return a.select("*", late_score.alias("late_avg_score"), ontime_score.alias("ontime_avg_score"),
                     churn.alias("churn_rate_pct"), n_sellers.alias("n_sellers"))

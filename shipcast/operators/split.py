@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from ..functions import timeops as t
 from ..functions.ordinal import kth_key
 from ..functions.quantile import quantiles
+from ..functions.scalars import scalars
 from .features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 TS = "order_purchase_timestamp"
@@ -91,9 +92,8 @@ def with_train_stats(df: DataFrame) -> DataFrame:
     joined with fallbacks, rows with a missing model input dropped. The global values are
     scalar subqueries (one-row aggregates evaluated once, inlined as literals)."""
     train = df.where(F.col("split") == "train")
-    g = global_train_stats(df)
-    g_proc, g_tran, g_del, dist_med = (g.select(c).scalar()
-                                       for c in ("g_proc", "g_tran", "g_del", "dist_median"))
+    g = scalars(global_train_stats(df))
+    g_proc, g_tran, g_del, dist_med = (g[c] for c in ("g_proc", "g_tran", "g_del", "dist_median"))
     out = df.withColumn("distance_km", F.coalesce(F.col("distance_km"), dist_med))
     out = out.join(seller_stats(train), "seller_id", "left")
     out = out.join(category_stats(train), "product_category_name_english", "left")
@@ -192,7 +192,8 @@ def notebook_split(features_geo: DataFrame) -> DataFrame:
     g = train.agg(F.avg("delivery_time_days").alias("g_del"),
                   F.avg("processing_days").alias("g_proc"),
                   F.avg("transit_days").alias("g_tran"))
-    g_del, g_proc, g_tran = (g.select(c).scalar() for c in ("g_del", "g_proc", "g_tran"))
+    gs = scalars(g)
+    g_del, g_proc, g_tran = gs["g_del"], gs["g_proc"], gs["g_tran"]
     out = df.join(seller_stats(train), "seller_id", "left")
     out = out.withColumns({
         "seller_avg_processing": F.coalesce("seller_avg_processing", g_proc),

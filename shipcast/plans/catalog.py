@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,10 +37,11 @@ def query(key: str, sql: str | None = None, extra_ctes: str = ""):
 
 
 def stable_rounding(sql: str, places: int = 6) -> str:
-    """Rewrite every ``round(<expr>, 6)`` as ``round(round(<expr>, 9), 6)``, the twin of
-    ``finalize``: values that sit on a rounding tie (exact binary fractions such as
-    8.1015625) but differ between engines in the last bit are first snapped onto the tie, so
-    both engines round them the same way."""
+    """Rewrite every ``round(<expr>, 6)`` as ``floor(round(<expr>, 9) * 1e6 + 0.5) / 1e6``, the
+    twin of ``finalize``. Engines disagree on ties: one rounds the exact decimal form of a
+    double (0.0010105 -> 0.001011), the other scales in binary first (-> 0.00101), and sums
+    taken in a different order differ in the last bit. Snapping to 9 places and then doing
+    the same three IEEE operations in both engines gives bit-identical results."""
     out, i, pat = [], 0, "round("
     while True:
         j = sql.find(pat, i)
@@ -61,7 +61,8 @@ def stable_rounding(sql: str, places: int = 6) -> str:
                 cut = idx
         if cut >= 0 and inner[cut + 1:].strip() == str(places):
             expr = stable_rounding(inner[:cut], places)
-            out.append(sql[i:j] + f"round(round({expr}, 9), {places})")
+            scale = f"1e{places}"
+            out.append(sql[i:j] + f"(floor(round({expr}, 9) * {scale} + 0.5) / {scale})")
         else:
             out.append(sql[i:j] + pat + stable_rounding(inner, places) + ")")
         i = k
@@ -80,12 +81,13 @@ _PERSISTED: dict[tuple, DataFrame] = {}
 
 
 def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Build once per (session, dataset) and keep it persisted (memory, spilling to disk):
-    features and splits feed many reports."""
+    """Build once per (session, dataset) and checkpoint it into the shared checkpoint folder:
+    features and splits feed many reports. The checkpoint cuts the lineage (later plans
+    and their scalar subqueries stay small) and survives the loss of an executor."""
     key = (id(spark), sf_dir.rstrip("/"), name)
     df = _PERSISTED.get(key)
     if df is None:
-        df = build().persist(StorageLevel.MEMORY_AND_DISK)
+        df = build().checkpoint(eager=True)
         _PERSISTED[key] = df
     return df
 
@@ -99,7 +101,10 @@ def finalize(df: DataFrame, places: int = 6) -> DataFrame:
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(F.round(c.cast("double"), 9), places)
+            r = F.round(c.cast("double"), 9)
+            scale = float(10 ** places)
+            c = F.when(F.isnan(r) | r.isin(float("inf"), float("-inf")), r).otherwise(
+                F.floor(r * scale + 0.5) / scale)
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(f.dataType, T.DateType):
