@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_audit, q_features, q_reports, q_split, q_text  # noqa: F401
+from . import q_audit, q_features, q_model, q_reports, q_split, q_text  # noqa: F401
 from .catalog import ORACLE, QUERIES
 
 
