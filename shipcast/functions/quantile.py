@@ -31,10 +31,12 @@ def quantiles(df: DataFrame, value, probs: Mapping[str, float],
               keys: Sequence[str] = ()) -> DataFrame:
     """One row per group (or one row overall) with a column per requested probability.
 
-    NULL values are skipped; an all-NULL group gives NULL quantiles."""
+    NULL and NaN values are skipped; an all-missing group gives NULL quantiles."""
     keys = list(keys)
     x = F.col(value) if isinstance(value, str) else value
-    data = df.select(*keys, x.cast("double").alias("__x")).where(F.col("__x").isNotNull())
+    # NULL and NaN are both missing values (pandas skips NaN in quantiles)
+    data = df.select(*keys, x.cast("double").alias("__x")).where(
+        F.col("__x").isNotNull() & ~F.isnan("__x"))
     sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     largest = sizes.agg(F.max("__n")).first()[0]
     if largest is None or largest <= _limit(df):
