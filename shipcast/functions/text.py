@@ -79,8 +79,13 @@ def content_tokens_sql(expr: str, language: str = "portuguese") -> str:
 
 
 def tokenise(text, language: str = "portuguese") -> Column:
-    """TX-01 + TX-02: normalised text split on spaces, content tokens only."""
-    return content_tokens(F.split(normalise(text), " "), language)
+    """TX-01 + TX-02: content tokens of the normalised text. Same tokens as splitting the
+    normalised text on spaces, in one regex pass instead of three: punctuation and digit
+    runs become spaces, then the text is split on whitespace runs (empty pieces are shorter
+    than the minimum length and drop out)."""
+    t = F.lower(F.coalesce(_c(text), F.lit("")))
+    t = F.regexp_replace(t, f"{NON_WORD}+|{DIGITS}", " ")
+    return content_tokens(F.split(t, SPACES), language)
 
 
 def tokenise_sql(expr: str, language: str = "portuguese") -> str:

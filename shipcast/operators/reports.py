@@ -467,17 +467,16 @@ def correlation_frame(m: Market) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLUMNS) -> DataFrame:
-    """AG-43: pairwise-complete Pearson correlation of every pair in one aggregation."""
+    """AG-43: pairwise-complete Pearson correlation of every pair in ONE aggregation; a
+    single ``stack`` emits both orders of each pair and the unit diagonal."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     cast = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     row = cast.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    body = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
-    half = row.selectExpr(f"stack({len(pairs)}, {body}) AS (col_a, col_b, corr)")
-    other = half.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
-    diag = df.sparkSession.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("corr"))
-        for c in cols])))
-    return half.unionByName(other).unionByName(diag)
+    entries = []
+    for i, (a, b) in enumerate(pairs):
+        entries += [f"'{a}', '{b}', c{i}", f"'{b}', '{a}', c{i}"]
+    entries += [f"'{c}', '{c}', CAST(1.0 AS DOUBLE)" for c in cols]
+    return row.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) AS (col_a, col_b, corr)")
 
 
 def histogram(df: DataFrame, col: str, bins: int, keys: Sequence[str] = (),

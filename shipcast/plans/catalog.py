@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,14 +81,18 @@ def market(spark: SparkSession, sf_dir: str) -> Market:
 _PERSISTED: dict[tuple, DataFrame] = {}
 
 
-def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Build once per (session, dataset) and checkpoint it into the shared checkpoint folder:
-    features and splits feed many reports. The checkpoint cuts the lineage (later plans
-    and their scalar subqueries stay small) and survives the loss of an executor."""
+def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
+           checkpoint: bool = True) -> DataFrame:
+    """Build once per (session, dataset). Deep, narrow stages (features, splits) are
+    checkpointed into the shared checkpoint folder: that cuts the lineage (later plans and
+    their scalar subqueries stay small) and survives the loss of an executor. Wide,
+    shallow frames (review texts) are persisted instead; a lost block is recomputed from
+    its short lineage."""
     key = (id(spark), sf_dir.rstrip("/"), name)
     df = _PERSISTED.get(key)
     if df is None:
-        df = build().checkpoint(eager=True)
+        df = build()
+        df = df.checkpoint(eager=True) if checkpoint else df.persist(StorageLevel.MEMORY_AND_DISK)
         _PERSISTED[key] = df
     return df
 

@@ -13,8 +13,11 @@ from .q_reports import EDA_CTES
 
 
 def sentiment_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shared(spark, sf_dir, "sentiment_tokens", lambda: rt.review_tokens(
-        rt.commented_by_sentiment(rp.reviews_with_orders(market(spark, sf_dir)))))
+    def build():
+        rwo = rp.reviews_with_orders(market(spark, sf_dir)).select(
+            "review_id", "review_score", "review_comment_message", "order_delivered_customer_date")
+        return rt.review_tokens(rt.commented_by_sentiment(rwo))
+    return shared(spark, sf_dir, "sentiment_tokens", build, checkpoint=False)
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
