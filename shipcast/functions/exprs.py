@@ -89,3 +89,22 @@ def tier(c, edges: Column, labels: Sequence[str]) -> Column:
 def rnd(c, places: int = 6) -> Column:
     """Round doubles for stable cross-engine comparison (sums differ in the last bits)."""
     return F.round(_c(c).cast("double"), places)
+
+
+def half_even(c, places: int) -> Column:
+    """Round half to even on the binary-scaled value (x * 10^places), with the same IEEE
+    operations as ``half_even_sql`` so that Spark and SQL engines agree bit for bit."""
+    scale = float(10 ** places)
+    r = F.round(_c(c).cast("double"), 9) * scale   # snap last-bit noise first
+    f = F.floor(r).cast("double")
+    d = r - f
+    up = (d > 0.5) | ((d == 0.5) & (F.pmod(f, F.lit(2.0)) == 1.0))
+    return F.when(r.isNull(), F.lit(None).cast("double")).otherwise(
+        F.when(up, f + 1.0).otherwise(f) / scale)
+
+
+def half_even_sql(expr: str, places: int) -> str:
+    scale = f"{float(10 ** places)!r}"
+    r = f"(round(CAST({expr} AS DOUBLE), 9) * {scale})"
+    return (f"(CASE WHEN {r} - floor({r}) > 0.5 OR ({r} - floor({r}) = 0.5 AND floor({r}) % 2 = 1) "
+            f"THEN floor({r}) + 1 ELSE floor({r}) END / {scale})")

@@ -87,7 +87,10 @@ def global_running_sum(df: DataFrame, order: Sequence[Column], value: str) -> Da
     its local running values, and the per-partition totals (one row per partition) give the
     offsets through a window over that tiny table."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(parts, *order).withColumn("__pid", F.spark_partition_id())
+    # checkpointed: read by two branches below, and a re-executed range exchange could
+    # sample different boundaries (row order after a shuffle is not deterministic)
+    r = df.repartitionByRange(parts, *order).withColumn("__pid", F.spark_partition_id()) \
+          .checkpoint(eager=True)
     lw = Window.partitionBy("__pid").orderBy(*order)
     local = r.select("*", F.row_number().over(lw).alias("__lrank"),
                      F.sum(value).over(lw.rowsBetween(Window.unboundedPreceding, 0)).alias("__lsum"))

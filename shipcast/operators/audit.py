@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import bucket
+from ..functions.exprs import bucket, half_even
 from ..functions.quantile import quantiles
 from ..functions.scalars import scalars
 
@@ -158,9 +158,9 @@ def worst_segments(err: DataFrame, k: int = WORST_CATEGORIES) -> DataFrame:
 def error_summary(err: DataFrame) -> DataFrame:
     """SNK-05: the one-row error summary (bias to 3 places, shares to 1, half-even)."""
     w = worst_segments(err)
-    s = err.agg(F.bround(F.avg("residual"), 3).alias("bias_days"),
-                F.bround(F.avg((F.col("abs_error") <= 1).cast("double")) * 100, 1).alias("within_1d_pct"),
-                F.bround(F.avg((F.col("abs_error") <= 2).cast("double")) * 100, 1).alias("within_2d_pct"))
+    s = err.agg(half_even(F.avg("residual"), 3).alias("bias_days"),
+                half_even(F.avg((F.col("abs_error") <= 1).cast("double")) * 100, 1).alias("within_1d_pct"),
+                half_even(F.avg((F.col("abs_error") <= 2).cast("double")) * 100, 1).alias("within_2d_pct"))
     notes = F.array(*[F.lit(n) for n in SUMMARY_NOTES])
     ws = scalars(w)
     return s.select("*", ws["worst_categories"].alias("worst_categories"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import timeops as t
-from ..functions.exprs import bucket, bucket_order, clip_between
+from ..functions.exprs import bucket, bucket_order, clip_between, half_even
 from ..functions.ordinal import global_running_sum
 from ..functions.quantile import quantiles
 from ..functions.scalars import scalars
@@ -68,7 +68,7 @@ def missing_report(df: DataFrame, table: str) -> DataFrame:
     long = counts.selectExpr("__n", f"stack({len(cols)}, {pairs}) AS (column_name, missing_count)")
     return (long.where(F.col("missing_count") > 0)
             .select(F.lit(table).alias("table_name"), "column_name", "missing_count",
-                    F.bround(F.col("missing_count") / F.col("__n") * 100, 1).alias("missing_pct")))
+                    half_even(F.col("missing_count") / F.col("__n") * 100, 1).alias("missing_pct")))
 
 
 def order_id_coverage(m: Market) -> DataFrame:
@@ -98,7 +98,7 @@ def score_distribution(reviews: DataFrame) -> DataFrame:
         total = df.agg(F.count(F.lit(1))).scalar()
         return df.groupBy("review_score").agg(F.count(F.lit(1)).alias("n_reviews")).select(
             F.lit(subset).alias("subset"), "review_score", "n_reviews",
-            F.bround(F.col("n_reviews") / total * 100, 1).alias("pct"))
+            half_even(F.col("n_reviews") / total * 100, 1).alias("pct"))
     commented = reviews.where(F.col("review_comment_message").isNotNull())
     return dist(reviews, "all").unionByName(dist(commented, "commented"))
 
@@ -296,10 +296,10 @@ def worst_categories(m: Market, min_orders: int = CATEGORY_MIN_ORDERS, top: int
 
 
 def first_item_seller(items: DataFrame) -> DataFrame:
-    """W-01 / SET-02: the first item row of every order (by item order)."""
-    w = Window.partitionBy("order_id").orderBy("order_item_id")
-    return (items.select("order_id", "seller_id", F.row_number().over(w).alias("__rn"))
-            .where(F.col("__rn") == 1).drop("__rn"))
+    """W-01 / SET-02: the first item row of every order (by item order), as a ``min_by``
+    aggregate: partial aggregation on the map side, so a huge order is combined per task
+    instead of being sorted in one."""
+    return items.groupBy("order_id").agg(F.min_by("seller_id", "order_item_id").alias("seller_id"))
 
 
 def delivered_with_states(m: Market) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import timeops as t
+from ..functions.grouped import grouped_rolling
 from ..functions.ordinal import kth_key
 from ..functions.quantile import quantiles
 from ..functions.scalars import scalars
@@ -170,17 +171,16 @@ ROLL_MIN = 5
 
 def rolling_seller_stats(train: DataFrame) -> DataFrame:
     """W-03/W-04: mean and sample std of the previous 50 train orders of the seller (the
-    current order excluded), NULL below 5 observations. The window is partitioned by
-    seller and bounded to 50 rows, so its state per task is constant; a seller holding a
-    third of all rows still sorts in one task, which AQE cannot split for a window."""
-    w = (Window.partitionBy("seller_id").orderBy(F.unix_micros(F.col(TS)), F.col(TIE))
-         .rowsBetween(-ROLL_WINDOW, -1))
-    n = F.count("delivery_time_days").over(w)
-    ok = F.col("seller_id").isNotNull() & (n >= ROLL_MIN)  # NULL sellers form no group
-    return train.select(
-        "*",
-        F.when(ok, F.avg("delivery_time_days").over(w)).alias("seller_roll_avg_delivery"),
-        F.when(ok, F.stddev_samp("delivery_time_days").over(w)).alias("seller_roll_std_delivery"))
+    current order excluded), NULL below 5 observations. Computed over range partitions of
+    (seller, time, order) so a seller holding a third of all orders is spread over many
+    tasks (see ``functions.grouped``)."""
+    order = [F.unix_micros(F.col(TS)), F.col(TIE)]
+    out = grouped_rolling(train, ["seller_id"], order, "delivery_time_days", ROLL_WINDOW,
+                          {"__n": F.count, "__avg": F.avg, "__sd": F.stddev_samp})
+    ok = F.col("seller_id").isNotNull() & (F.col("__n") >= ROLL_MIN)  # NULL sellers form no group
+    return out.select(*train.columns,
+                      F.when(ok, F.col("__avg")).alias("seller_roll_avg_delivery"),
+                      F.when(ok, F.col("__sd")).alias("seller_roll_std_delivery"))
 
 
 def notebook_split(features_geo: DataFrame) -> DataFrame:

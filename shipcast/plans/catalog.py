@@ -31,7 +31,7 @@ def query(key: str, sql: str | None = None, extra_ctes: str = ""):
             raise ValueError(f"duplicate query id {key}")
         QUERIES[key] = fn
         if sql is not None:
-            ORACLE[key] = with_views(stable_rounding(sql), extra_ctes)
+            ORACLE[key] = with_views(stable_rounding(half_even_rounding(sql)), extra_ctes)
         return fn
 
     return deco
@@ -69,6 +69,30 @@ def stable_rounding(sql: str, places: int = 6) -> str:
         i = k
 
 
+def half_even_rounding(sql: str) -> str:
+    """Rewrite ``round_even(<expr>, n)`` as the IEEE half-even expression of
+    ``functions.exprs.half_even_sql`` (the twin of the Spark-side ``half_even``)."""
+    from ..functions.exprs import half_even_sql
+    out, i, pat = [], 0, "round_even("
+    while True:
+        j = sql.find(pat, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(pat)
+        while depth and k < len(sql):
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(pat):k - 1]
+        d, cut = 0, -1
+        for idx, ch in enumerate(inner):
+            d += {"(": 1, ")": -1}.get(ch, 0)
+            if ch == "," and d == 0:
+                cut = idx
+        out.append(sql[i:j] + half_even_sql(half_even_rounding(inner[:cut]), int(inner[cut + 1:].strip())))
+        i = k
+
+
 @lru_cache(maxsize=8)
 def _market(spark: SparkSession, sf_dir: str) -> Market:
     return load_market(spark, sf_dir)

@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
+
+from ..functions.grouped import grouped_row_number
 
 _L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
@@ -97,14 +98,15 @@ def orders_role(orders: DataFrame) -> DataFrame:
 
 
 def items_role(lineitem: DataFrame) -> DataFrame:
-    # order_item_id needs a full tie-break: (l_orderkey, l_linenumber) is not a key.
-    # The window is partitioned by the order key, so the items leave this step already
-    # hash-partitioned by order_id, which the order-level joins and roll-ups reuse.
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
-    return lineitem.select(
+    # order_item_id needs a full tie-break: (l_orderkey, l_linenumber) is not a key. The
+    # numbering is a per-order row_number computed over range partitions, so even an order
+    # holding a huge share of the lines is not sorted in one task.
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
+    numbered = grouped_row_number(lineitem.select("l_orderkey", *order, "l_tax"), ["l_orderkey"],
+                                  order, "order_item_id")
+    return numbered.select(
         F.col("l_orderkey").alias("order_id"),
-        F.row_number().over(w).alias("order_item_id"),
+        F.col("order_item_id").cast("int").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
         (F.col("l_suppkey") * 100 + F.col("l_partkey") % 20).alias("seller_id"),
         F.col("l_extendedprice").alias("price"),

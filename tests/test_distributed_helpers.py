@@ -58,3 +58,27 @@ def test_global_running_sum(spark):
     assert out["id"].tolist() == exp["id"].tolist()
     np.testing.assert_allclose(out["__cum"].to_numpy(), exp["v"].cumsum().to_numpy())
     assert out["__rank"].tolist() == list(range(1, 301))
+
+
+def test_grouped_helpers_equal_plain_windows_under_skew(spark):
+    from pyspark.sql.window import Window
+    from shipcast.functions.grouped import grouped_rolling, grouped_row_number
+    rng = np.random.default_rng(11)
+    n = 2000
+    key = np.where(rng.random(n) < 0.6, 1, rng.integers(2, 40, n))   # key 1 holds ~60 % of rows
+    pdf = pd.DataFrame({"k": key, "t": rng.permutation(n), "v": rng.normal(size=n)})
+    df = spark.createDataFrame(pdf)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        rn = grouped_row_number(df, ["k"], ["t"]).toPandas().sort_values("t")
+        exp = pdf.sort_values(["k", "t"]).assign(rn=lambda d: d.groupby("k").cumcount() + 1).sort_values("t")
+        assert rn["rn"].tolist() == exp["rn"].tolist()
+        got = grouped_rolling(df, ["k"], [F.col("t")], "v", 50,
+                              {"n": F.count, "a": F.avg}).toPandas().sort_values("t")
+        w = Window.partitionBy("k").orderBy("t").rowsBetween(-50, -1)
+        ref = df.select("t", F.count("v").over(w).alias("n"), F.avg("v").over(w).alias("a")).toPandas().sort_values("t")
+        assert got["n"].tolist() == ref["n"].tolist()
+        np.testing.assert_allclose(got["a"].fillna(0).to_numpy(), ref["a"].fillna(0).to_numpy(), rtol=1e-9, atol=1e-12)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
