@@ -20,6 +20,9 @@ NON_WORD = rf"[^\p{{L}}\p{{N}}_{WS}]"      # Unicode \W without whitespace: punc
 DIGITS = r"\p{Nd}+"
 SPACES = rf"[{WS}]+"
 RAW_TOKEN = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{WS}]+"   # words, or runs of punctuation
+# what survives normalisation as part of a token: letters, numbers other than decimal
+# digits (digits are removed), underscore; every other character separates tokens
+TOKEN_SEPARATORS = r"[^\p{L}\p{Nl}\p{No}_]+"
 MIN_TOKEN_LENGTH = 3
 
 
@@ -80,12 +83,12 @@ def content_tokens_sql(expr: str, language: str = "portuguese") -> str:
 
 def tokenise(text, language: str = "portuguese") -> Column:
     """TX-01 + TX-02: content tokens of the normalised text. Same tokens as splitting the
-    normalised text on spaces, in one regex pass instead of three: punctuation and digit
-    runs become spaces, then the text is split on whitespace runs (empty pieces are shorter
-    than the minimum length and drop out)."""
+    normalised text on spaces, but one regex split instead of three replacements: the
+    characters that normalisation keeps inside tokens are letters, non-decimal numbers and
+    underscore; every run of anything else separates tokens (empty pieces are shorter than
+    the minimum length and drop out)."""
     t = F.lower(F.coalesce(_c(text), F.lit("")))
-    t = F.regexp_replace(t, f"{NON_WORD}+|{DIGITS}", " ")
-    return content_tokens(F.split(t, SPACES), language)
+    return content_tokens(F.split(t, TOKEN_SEPARATORS), language)
 
 
 def tokenise_sql(expr: str, language: str = "portuguese") -> str:

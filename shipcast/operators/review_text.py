@@ -57,9 +57,9 @@ def commented_by_sentiment(rwo: DataFrame) -> DataFrame:
 
 
 def review_tokens(reviews: DataFrame) -> DataFrame:
-    """TX-01/TX-02 per review: clean text and content tokens."""
-    return reviews.select("*", tx.normalise("review_comment_message").alias("clean_text"),
-                          tx.tokenise("review_comment_message").alias("tokens"))
+    """TX-02 per review: content tokens (the normalised text itself, TX-01, is derived only
+    where it is reported)."""
+    return reviews.select("*", tx.tokenise("review_comment_message").alias("tokens"))
 
 
 def word_counts(tokenised: DataFrame, keys: Sequence[str] = ("subset",)) -> DataFrame:

@@ -40,7 +40,8 @@ def flt_05(spark, sf_dir):
 
 @query("tx_01", "SELECT review_id, clean_text FROM x_tok", TEXT_CTES)
 def tx_01(spark, sf_dir):
-    return finalize(sentiment_tokens(spark, sf_dir).select("review_id", "clean_text"))
+    t = sentiment_tokens(spark, sf_dir)
+    return finalize(t.select("review_id", tx.normalise("review_comment_message").alias("clean_text")))
 
 
 @query("tx_02", """SELECT review_id, array_to_string(tokens, ' ') AS tokens, CAST(len(tokens) AS BIGINT) AS n_tokens
