@@ -1,0 +1,19 @@
+"""Broadcast only with a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows (checked with a
+    ``limit(max_rows + 1)`` count that stops early); otherwise the plain frame, so the join
+    falls back to a shuffle join (or to AQE's own runtime broadcast decision)."""
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get("shipcast.broadcast.maxRows",
+                                                str(DEFAULT_MAX_BROADCAST_ROWS)))
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

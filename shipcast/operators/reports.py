@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions import timeops as t
 from ..functions.exprs import bucket, bucket_order, clip_between, half_even
+from ..functions.joins import bounded_broadcast
 from ..functions.ordinal import global_running_sum
 from ..functions.quantile import quantiles
 from ..functions.scalars import scalars
@@ -267,7 +268,7 @@ def delay_bucket_scores(df_rev: DataFrame) -> DataFrame:
 def order_first_category(m: Market) -> DataFrame:
     """PRJ-15 + W-02: per order the first non-NULL category (English name, native name if
     untranslated) and the first non-NULL product weight, in item order."""
-    prods = m.products.join(F.broadcast(m.translation), "product_category_name", "left").select(
+    prods = m.products.join(bounded_broadcast(m.translation), "product_category_name", "left").select(
         "product_id", F.coalesce("product_category_name_english", "product_category_name")
         .alias("category"), "product_weight_g")
     ip = m.items.join(prods, "product_id", "left")

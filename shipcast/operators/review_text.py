@@ -98,8 +98,8 @@ def phrase_counts(bad: DataFrame, counts: DataFrame,
     """TX-05: number of bad reviews matching each phrase pattern (lower-cased text, one pass
     for all patterns), with the share of the group's word mentions where one is defined."""
     items = [(g, n, p) for g, d in patterns.items() for n, p in d.items()]
-    low = F.lower(F.col("review_comment_message"))
-    row = bad.agg(*[F.count_if(low.rlike(p)).alias(f"p{i}") for i, (_, _, p) in enumerate(items)])
+    low = bad.select(F.lower(F.col("review_comment_message")).alias("m"))  # lower-cased once
+    row = low.agg(*[F.count_if(F.col("m").rlike(p)).alias(f"p{i}") for i, (_, _, p) in enumerate(items)])
     body = ", ".join(f"'{g}', '{n}', '{p}', p{i}" for i, (g, n, p) in enumerate(items))
     long = row.selectExpr(f"stack({len(items)}, {body}) AS (pattern_group, name, pattern, n_reviews)")
     denom = (counts.where((F.col("subset") == "bad") & F.col("word").isin(*PHRASE_DENOMINATOR.values()))

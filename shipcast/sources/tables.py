@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.grouped import grouped_row_number
+from ..functions.joins import bounded_broadcast
 
 _L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
@@ -142,8 +143,9 @@ def _present_keys(part: DataFrame, modulus: int) -> DataFrame:
 
 def sellers_role(supplier: DataFrame, nation: DataFrame, part: DataFrame) -> DataFrame:
     # 20 seller slots per supplier: a bounded expansion, then keep only slots that occur.
-    base = supplier.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    base = supplier.join(bounded_broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
     expanded = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("k"))
+    # at most 20 rows (a key modulo 20): broadcast by construction
     expanded = expanded.join(F.broadcast(_present_keys(part, 20)), "k", "left_semi")
     return expanded.select(
         (F.col("s_suppkey") * 100 + F.col("k")).alias("seller_id"),
@@ -153,7 +155,7 @@ def sellers_role(supplier: DataFrame, nation: DataFrame, part: DataFrame) -> Dat
 
 
 def customers_role(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    return customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return customer.join(bounded_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("customer_id"),
         (F.col("c_nationkey") * 4 + F.col("c_custkey") % 4).alias("customer_zip_code_prefix"),
         F.col("n_name").alias("customer_state"),
@@ -196,7 +198,7 @@ def reviews_role(orders: DataFrame, documents: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     docs = documents.where(F.col("doc_id").between(0, 199)).select("doc_id", "text", "source")
     o = orders.where(k % 30 != 29).select(k, "o_orderdate", (k % 200).alias("doc_key"))
-    j = o.join(F.broadcast(docs), F.col("doc_key") == F.col("doc_id"), "left")
+    j = o.join(bounded_broadcast(docs, 200), F.col("doc_key") == F.col("doc_id"), "left")
     return j.select(
         k.alias("review_id"), k.alias("order_id"),
         (1 + (k * 17 + k % 7) % 5).cast("int").alias("review_score"),
