@@ -16,6 +16,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove checkpoint files once their DataFrames are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -20,6 +20,7 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.driver.memory", "6g")
          .config("spark.ui.enabled", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
