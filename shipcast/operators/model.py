@@ -69,6 +69,15 @@ def quantiles_row(train: DataFrame, cols: Sequence[str]) -> dict:
     return {c: quantiles(train, c, {"m": 0.5}).first()["m"] for c in cols}
 
 
+def tree_memory_mb(spark) -> int:
+    """Per-task memory for tree split statistics (``maxMemoryInMB``): a quarter of the heap
+    per concurrent task, at most Spark's default of 256. It changes how many nodes are split
+    per pass, not the trees."""
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    slots = max(1, spark.sparkContext.defaultParallelism)
+    return int(max(16, min(256, heap / 2 ** 20 / slots / 4)))
+
+
 def candidates(train: DataFrame, label: str = TARGET, n_trees: int = DEFAULT_TREES,
                gbt_step: float = 0.05, gbt_depth: int = 5, rf_min_leaf: int = 5,
                gbt_subsample: float = 0.8) -> dict:
@@ -78,19 +87,20 @@ def candidates(train: DataFrame, label: str = TARGET, n_trees: int = DEFAULT_TRE
     stats = train.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("sd")).first()
     n, sd = stats["n"], stats["sd"] or 0.0
     common = dict(featuresCol="features", labelCol=label, predictionCol="prediction")
+    mem = dict(maxMemoryInMB=tree_memory_mb(train.sparkSession))
     return {
         "Linear Regression": LinearRegression(**common, regParam=0.0, standardization=False,
                                               solver="normal"),
         "Ridge": LinearRegression(**common, regParam=1.0 * sd / max(n, 1), elasticNetParam=0.0,
                                   standardization=False, solver="normal"),
         "Lasso": LinearRegression(**common, regParam=0.01, elasticNetParam=1.0, standardization=False),
-        "Decision Tree": DecisionTreeRegressor(**common, maxDepth=10, seed=SEED),
-        "Random Forest": RandomForestRegressor(**common, numTrees=n_trees, maxDepth=15,
+        "Decision Tree": DecisionTreeRegressor(**common, **mem, maxDepth=10, seed=SEED),
+        "Random Forest": RandomForestRegressor(**common, **mem, numTrees=n_trees, maxDepth=15,
                                                minInstancesPerNode=rf_min_leaf,
                                                featureSubsetStrategy="all", seed=SEED),
-        "Gradient Boosting": GBTRegressor(**common, maxIter=n_trees, maxDepth=gbt_depth,
+        "Gradient Boosting": GBTRegressor(**common, **mem, maxIter=n_trees, maxDepth=gbt_depth,
                                           stepSize=gbt_step, subsamplingRate=gbt_subsample, seed=SEED),
-        "XGBoost": GBTRegressor(**common, maxIter=n_trees, maxDepth=gbt_depth, stepSize=gbt_step,
+        "XGBoost": GBTRegressor(**common, **mem, maxIter=n_trees, maxDepth=gbt_depth, stepSize=gbt_step,
                                 subsamplingRate=gbt_subsample, featureSubsetStrategy="0.8", seed=SEED),
     }
 

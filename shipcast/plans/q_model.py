@@ -24,8 +24,19 @@ from .q_split import SPLIT_CTES, _model_cols_sql, model_frame, notebook_frame
 _RUNS: dict = {}
 
 
+SMALL_HEAP_BYTES = 6 * 2 ** 30
+SMALL_HEAP_TREES = 20
+
+
 def n_trees(spark: SparkSession) -> int:
-    return int(spark.conf.get("shipcast.model.trees", str(md.DEFAULT_TREES)))
+    """Trees per ensemble: ``shipcast.model.trees`` when set, else the reference's 200 when
+    the driver (which collects every fitted model) has a heap of at least 6 GiB, else 20 so
+    that a small driver cannot be brought down by the largest forest."""
+    conf = spark.conf.get("shipcast.model.trees", None)
+    if conf:
+        return int(conf)
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    return md.DEFAULT_TREES if heap >= SMALL_HEAP_BYTES else SMALL_HEAP_TREES
 
 
 def main_run(spark: SparkSession, sf_dir: str) -> dict:

@@ -38,6 +38,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings every query relies on, applied to a session we did not build: the data's
+    timestamps are zone-less, so the session zone must be UTC; the checkpoint folder must
+    exist."""
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset (local
     tests) fall back to a fresh scratch folder."""
