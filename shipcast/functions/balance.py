@@ -1,0 +1,14 @@
+"""Spread CPU-heavy per-row work over every task slot."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, input_parts: int) -> DataFrame:
+    """Round-robin ``df`` over the cluster's task slots when its source was read in fewer
+    splits than there are slots (a file stored as one large row group is read by one task,
+    and so is everything fused into that scan stage). On a cluster reading many files the
+    source already has enough splits and nothing is added."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if input_parts >= slots else df.repartition(slots)

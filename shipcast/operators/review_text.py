@@ -79,18 +79,36 @@ def top_words(counts: DataFrame, subsets: Sequence[str] = ("bad", "good"), k: in
     return out
 
 
-def word_context(bad: DataFrame, word: str, width: int = CONTEXT_WORDS, k: int = TOP_CONTEXT) -> DataFrame:
-    """TX-04: for each review whose tokens contain ``word``, the tokens within ``width`` of its
-    first occurrence; content tokens counted; the k most common."""
-    toks = bad.select(tx.raw_tokens("review_comment_message").alias("t"))
-    toks = toks.select("t", F.array_position("t", word).alias("pos")).where(F.col("pos") > 0)
-    start = F.greatest(F.col("pos") - width, F.lit(1))
-    end = F.least(F.col("pos") + width, F.size("t"))
-    ctx = toks.select(tx.content_tokens(F.slice("t", start, end - start + 1)).alias("ctx"))
-    counts = ctx.select(F.explode("ctx").alias("context_word")).groupBy("context_word").agg(
-        F.count(F.lit(1)).alias("count"))
-    return counts.orderBy(F.desc("count"), "context_word").limit(k).select(
-        F.lit(word).alias("target"), "context_word", "count")
+def context_counts(bad: DataFrame, targets: Sequence[str] = CONTEXT_TARGETS,
+                   width: int = CONTEXT_WORDS) -> DataFrame:
+    """TX-04, every target in one pass over the texts: for each review whose raw tokens
+    contain a target, the content tokens within ``width`` of its first occurrence, counted
+    per (target, context word)."""
+    t = F.col("t")
+
+    def around(word: str):
+        pos = F.array_position(t, word)
+        start = F.greatest(pos - width, F.lit(1))
+        end = F.least(pos + width, F.size(t))
+        ctx = F.when(pos > 0, tx.content_tokens(F.slice(t, start, end - start + 1)))
+        return F.struct(F.lit(word).alias("target"), ctx.alias("ctx"))
+
+    toks = bad.select(tx.raw_tokens("review_comment_message").alias("t"))   # tokenised once
+    hits = toks.select(F.explode(F.array(*[around(w) for w in targets])).alias("h")) \
+               .where(F.col("h.ctx").isNotNull())
+    return (hits.select("h.target", F.explode("h.ctx").alias("context_word"))
+            .groupBy("target", "context_word").agg(F.count(F.lit(1)).alias("count")))
+
+
+def top_context(counts: DataFrame, targets: Sequence[str] = CONTEXT_TARGETS,
+                k: int = TOP_CONTEXT) -> DataFrame:
+    """TX-04: the k most common context words of each target (ties broken by the word)."""
+    parts = [counts.where(F.col("target") == w).orderBy(F.desc("count"), "context_word").limit(k)
+             for w in targets]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("target", "context_word", "count")
 
 
 def phrase_counts(bad: DataFrame, counts: DataFrame,

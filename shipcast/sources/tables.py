@@ -65,6 +65,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(path)
 
 
+def scan_partitions(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Input splits of a driver table: planned from the file listing, no job runs."""
+    return read_table(spark, sf_dir, name).rdd.getNumPartitions()
+
+
 def _ts(c: Column) -> Column:
     """timestamp_ntz as loaded -> session-zone timestamp (UTC), SRC-02."""
     return c.cast("timestamp")
