@@ -34,10 +34,21 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(EARTH_RADIUS_KM) * 2 * F.asin(F.sqrt(a))
 
 
+def snap(c) -> Column:
+    """The value rounded to 9 places before it is compared with a fixed edge: a value whose
+    exact result lies on the edge (an error of exactly 2 days) can come out one bit either
+    side depending on summation order; snapping puts it on the edge in every engine."""
+    return F.round(_c(c).cast("double"), 9)
+
+
+def snap_sql(expr: str) -> str:
+    return f"round(CAST({expr} AS DOUBLE), 9)"
+
+
 def bucket(c, edges: Sequence[float], labels: Sequence[str]) -> Column:
     """Right-closed, left-open bins (lo, hi] -> label; outside every bin -> NULL (PRJ-12)."""
     assert len(edges) == len(labels) + 1
-    c = _c(c)
+    c = snap(c)
     out = None
     for lo, hi, lab in zip(edges[:-1], edges[1:], labels):
         cond = F.lit(True)
@@ -51,7 +62,7 @@ def bucket(c, edges: Sequence[float], labels: Sequence[str]) -> Column:
 
 def bucket_order(c, edges: Sequence[float]) -> Column:
     """Index (0-based) of the right-closed bin, NULL outside."""
-    c = _c(c)
+    c = snap(c)
     out = None
     for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
         cond = F.lit(True)
@@ -65,6 +76,7 @@ def bucket_order(c, edges: Sequence[float]) -> Column:
 
 def sql_bucket(expr: str, edges: Sequence[float], labels: Sequence[str]) -> str:
     """The same right-closed binning as a SQL CASE (used by the DuckDB oracle)."""
+    expr = snap_sql(expr)
     parts = []
     for lo, hi, lab in zip(edges[:-1], edges[1:], labels):
         conds = []

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import bucket, half_even
+from ..functions.exprs import bucket, half_even, snap
 from ..functions.quantile import quantiles
 from ..functions.scalars import scalars
 
@@ -40,8 +40,8 @@ def metrics(df: DataFrame, y: str = TARGET, p: str = "prediction") -> DataFrame:
     out = df.agg(F.avg(F.abs(err)).alias("MAE"), F.avg(err * err).alias("__mse"),
                  F.sum(err * err).alias("__sse"), F.var_pop(y).alias("__var"),
                  F.count(F.lit(1)).alias("n"),
-                 (F.avg((F.abs(err) <= 2).cast("double")) * 100).alias("within_2d"),
-                 (F.avg((F.abs(err) <= 1).cast("double")) * 100).alias("within_1d"))
+                 (F.avg((snap(F.abs(err)) <= 2).cast("double")) * 100).alias("within_2d"),
+                 (F.avg((snap(F.abs(err)) <= 1).cast("double")) * 100).alias("within_1d"))
     return out.select("MAE", F.sqrt("__mse").alias("RMSE"),
                       (1 - F.col("__sse") / (F.col("n") * F.col("__var"))).alias("R2"),
                       "within_2d", "within_1d", "n")
@@ -159,8 +159,8 @@ def error_summary(err: DataFrame) -> DataFrame:
     """SNK-05: the one-row error summary (bias to 3 places, shares to 1, half-even)."""
     w = worst_segments(err)
     s = err.agg(half_even(F.avg("residual"), 3).alias("bias_days"),
-                half_even(F.avg((F.col("abs_error") <= 1).cast("double")) * 100, 1).alias("within_1d_pct"),
-                half_even(F.avg((F.col("abs_error") <= 2).cast("double")) * 100, 1).alias("within_2d_pct"))
+                half_even(F.avg((snap("abs_error") <= 1).cast("double")) * 100, 1).alias("within_1d_pct"),
+                half_even(F.avg((snap("abs_error") <= 2).cast("double")) * 100, 1).alias("within_2d_pct"))
     notes = F.array(*[F.lit(n) for n in SUMMARY_NOTES])
     ws = scalars(w)
     return s.select("*", ws["worst_categories"].alias("worst_categories"),

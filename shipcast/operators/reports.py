@@ -397,8 +397,11 @@ def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def revenue_pareto(sellers: DataFrame) -> DataFrame:
     """W-09: cumulative revenue share by seller rank (revenue descending, seller id), and the
     seller share. The running sum is computed over range partitions, not one partition."""
-    ranked = global_running_sum(sellers.select("seller_id", "total_revenue"),
-                                [F.desc("total_revenue"), F.asc("seller_id")], "total_revenue")
+    # revenue is a sum of cent amounts: ranked on its exact cent value, so sums that differ
+    # only in summation order (last-bit noise) tie and the seller id decides
+    cents = half_even("total_revenue", 2).alias("__cents")
+    ranked = global_running_sum(sellers.select("seller_id", "total_revenue", cents),
+                                [F.desc("__cents"), F.asc("seller_id")], "total_revenue")
     g = scalars(sellers.agg(F.sum("total_revenue").alias("total"), F.count(F.lit(1)).alias("n")))
     total, n = g["total"], g["n"]
     return ranked.select("seller_id", "total_revenue", F.col("__rank").alias("seller_rank"),

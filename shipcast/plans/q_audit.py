@@ -53,8 +53,8 @@ def _seg_sql(col: str, labels=None) -> str:
 @query("ag_46", """SELECT round(avg(abs(delivery_time_days - predicted)), 6) AS MAE,
  round(sqrt(avg((delivery_time_days - predicted) * (delivery_time_days - predicted))), 6) AS RMSE,
  round(1 - sum((delivery_time_days - predicted) * (delivery_time_days - predicted)) / (count(*) * var_pop(delivery_time_days)), 6) AS R2,
- round(avg(CAST(abs(delivery_time_days - predicted) <= 2 AS DOUBLE)) * 100, 6) AS within_2d,
- round(avg(CAST(abs(delivery_time_days - predicted) <= 1 AS DOUBLE)) * 100, 6) AS within_1d, count(*) AS n FROM a_err""",
+ round(avg(CAST(round(abs(delivery_time_days - predicted), 9) <= 2 AS DOUBLE)) * 100, 6) AS within_2d,
+ round(avg(CAST(round(abs(delivery_time_days - predicted), 9) <= 1 AS DOUBLE)) * 100, 6) AS within_1d, count(*) AS n FROM a_err""",
        AUDIT_CTES)
 def ag_46(spark, sf_dir):
     """AG-46: MAE, RMSE, R2, within 2 d / 1 d on the test split."""
@@ -157,8 +157,8 @@ def tk_02(spark, sf_dir):
 
 
 @query("snk_05", _WORST_SQL + """ SELECT round_even(avg(residual), 3) AS bias_days,
- round_even(avg(CAST(abs_error <= 1 AS DOUBLE)) * 100, 1) AS within_1d_pct,
- round_even(avg(CAST(abs_error <= 2 AS DOUBLE)) * 100, 1) AS within_2d_pct,
+ round_even(avg(CAST(round(abs_error, 9) <= 1 AS DOUBLE)) * 100, 1) AS within_1d_pct,
+ round_even(avg(CAST(round(abs_error, 9) <= 2 AS DOUBLE)) * 100, 1) AS within_2d_pct,
  (SELECT worst_categories FROM w) AS worst_categories, (SELECT distance_band FROM b) AS worst_distance_band,
  CAST(""" + str(len(au.SUMMARY_NOTES)) + """ AS BIGINT) AS n_notes FROM a_err""", AUDIT_CTES)
 def snk_05(spark, sf_dir):

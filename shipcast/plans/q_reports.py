@@ -467,10 +467,10 @@ def ag_39(spark, sf_dir):
 
 
 _PARETO_SQL = """SELECT seller_id, round(total_revenue, 6) AS total_revenue,
- row_number() OVER (ORDER BY total_revenue DESC, seller_id) AS seller_rank,
- round(sum(total_revenue) OVER (ORDER BY total_revenue DESC, seller_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+ row_number() OVER (ORDER BY round_even(total_revenue, 2) DESC, seller_id) AS seller_rank,
+ round(sum(total_revenue) OVER (ORDER BY round_even(total_revenue, 2) DESC, seller_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
    / sum(total_revenue) OVER () * 100, 6) AS cum_revenue_pct,
- round(row_number() OVER (ORDER BY total_revenue DESC, seller_id) / count(*) OVER () * 100, 6) AS seller_pct FROM e_seller"""
+ round(row_number() OVER (ORDER BY round_even(total_revenue, 2) DESC, seller_id) / count(*) OVER () * 100, 6) AS seller_pct FROM e_seller"""
 
 
 @query("w_09", _PARETO_SQL, EDA_CTES)

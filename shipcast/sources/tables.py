@@ -193,7 +193,10 @@ def payments_role(orders: DataFrame) -> DataFrame:
     voucher = orders.where(k % 13 == 0).select(
         k.alias("order_id"), F.lit(2).alias("payment_sequential"),
         F.lit("voucher").alias("payment_type"), F.lit(1).alias("payment_installments"),
-        F.round(F.col("o_totalprice") * 0.05, 2).alias("payment_value"))
+        # a money amount: 5 % of the order total rounded to the cent in exact decimal
+        # arithmetic (on doubles, 61.715 would round down in one engine and up in another)
+        F.round(F.col("o_totalprice").cast("decimal(18,2)") * F.lit(0.05).cast("decimal(3,2)"), 2)
+        .cast("double").alias("payment_value"))
     return first.unionByName(voucher)
 
 
