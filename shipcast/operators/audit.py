@@ -54,8 +54,10 @@ def quantile_tier(df: DataFrame, col: str, labels: Sequence[str] = TIER_LABELS)
     probs = {f"e{i}": i / len(labels) for i in range(len(labels) + 1)}
     q = quantiles(df, col, probs)
     qs = scalars(q)
-    e = [qs[f"e{i}"] for i in range(len(labels) + 1)]
-    x = F.col(col)
+    # value and edges snapped (``snap``): a seller whose mean is the quartile edge itself
+    # must not fall one bit above it in one engine and on it in another
+    e = [snap(qs[f"e{i}"]) for i in range(len(labels) + 1)]
+    x = snap(col)
     idx = F.lit(0)
     for i in range(1, len(labels)):
         step = (x > e[i]).cast("int")

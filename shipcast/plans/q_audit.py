@@ -23,8 +23,10 @@ def fixed_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared(spark, sf_dir, "fixed_errors", lambda: au.residual_frame(fixed_predictions(spark, sf_dir)))
 
 
-_TIER_IDX = ("1 + CAST(x > e1 AS INT) + CASE WHEN e2 > e1 THEN CAST(x > e2 AS INT) ELSE 0 END"
-             " + CASE WHEN e3 > e2 THEN CAST(x > e3 AS INT) ELSE 0 END")
+# value and edges snapped to 9 places, the twin of ``audit.quantile_tier``
+_TIER_IDX = ("1 + CAST(x > round(e1, 9) AS INT)"
+             " + CASE WHEN round(e2, 9) > round(e1, 9) THEN CAST(x > round(e2, 9) AS INT) ELSE 0 END"
+             " + CASE WHEN round(e3, 9) > round(e2, 9) THEN CAST(x > round(e3, 9) AS INT) ELSE 0 END")
 _TIER_LIST = "[" + ", ".join(f"'{t}'" for t in au.TIER_LABELS) + "]"
 
 AUDIT_CTES = SPLIT_CTES + f""",
@@ -35,7 +37,7 @@ a_edges AS (SELECT quantile_cont(seller_avg_delivery, 0.25) AS e1, quantile_cont
   quantile_cont(seller_avg_delivery, 0.75) AS e3 FROM a_base),
 a_err AS (SELECT a.*, {sql_bucket('abs_error', au.ERROR_EDGES, au.ERROR_LABELS)} AS error_bucket,
   {sql_bucket('distance_km', au.DISTANCE_EDGES, au.DISTANCE_LABELS)} AS distance_band,
-  CASE WHEN seller_avg_delivery IS NULL THEN NULL ELSE {_TIER_LIST}[{_TIER_IDX.replace('x', 'seller_avg_delivery')}] END AS seller_tier
+  CASE WHEN seller_avg_delivery IS NULL THEN NULL ELSE {_TIER_LIST}[{_TIER_IDX.replace('x', 'round(seller_avg_delivery, 9)')}] END AS seller_tier
   FROM a_base a CROSS JOIN a_edges)"""
 
 
