@@ -6,14 +6,11 @@ Spark ML's stop-word lists; the same patterns run unchanged in DuckDB's RE2.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .stopwords import PORTUGUESE
+
 # Explicit whitespace class so that Java regex and RE2 agree (RE2's \s lacks \x0B).
 WS = r" \t\n\x0B\f\r"
 NON_WORD = rf"[^\p{{L}}\p{{N}}_{WS}]"      # Unicode \W without whitespace: punctuation, symbols
@@ -56,17 +53,12 @@ def raw_tokens_sql(expr: str) -> str:
     return f"regexp_extract_all(lower({expr}), '{RAW_TOKEN}')"
 
 
-@lru_cache(maxsize=None)
+STOP_WORDS = {"portuguese": PORTUGUESE}
+
+
 def stop_words(language: str = "portuguese") -> tuple[str, ...]:
-    """The stop-word list Spark ML ships for ``language`` (read from the Spark ML jar, the
-    same list ``StopWordsRemover.loadDefaultStopWords`` returns, without needing a JVM)."""
-    import pyspark
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for jar in glob.glob(os.path.join(jars, "spark-mllib_*.jar")):
-        with zipfile.ZipFile(jar) as z:
-            data = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-            return tuple(w for w in data.split("\n") if w)
-    raise FileNotFoundError("Spark ML stop-word resources not found")
+    """The stop-word list of ``language``; packaged, so it needs neither a session nor jars."""
+    return STOP_WORDS[language]
 
 
 def content_tokens(tokens, language: str = "portuguese") -> Column:
