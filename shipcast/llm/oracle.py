@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 from .chat import CLOSE, ESCAPE, HEAD, LOSS_ROLE, NEXT, OPEN
 from .mixing import MAX_EPOCHS, SEED, SHARE_DEN, SHARE_NUM
 from .sharding import SHARDS
 
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
 _WORD = r"[^\x20\x09-\x0D]+"
 _SAID = CLOSE + OPEN + " ok " + HEAD
 
@@ -86,3 +89,81 @@ s AS (SELECT *, CAST((2 * place + size) * {SHARDS} // (2 * total) AS INT) AS sha
 SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
 FROM s"""
+
+
+def _license() -> str:
+    """Every place of every key phrase, found by comparing word slices."""
+    from .license_scan import WORD, default_templates
+
+    def words(w):
+        return "[" + ", ".join(f"'{x}'" for x in w) + "]"
+
+    templates = ",\n    ".join(
+        f"({i}, '{t.label}', {words(t.words)}, {words(t.key)}, {t.key_start}, {str(t.base).lower()})"
+        for i, t in enumerate(default_templates()))
+    return f"""
+WITH t(tid, label, words, k, key_start, base) AS (VALUES
+    {templates}),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         '{_UPPER}', '{_LOWER}'), '{WORD}') AS w FROM documents),
+p AS (SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS place FROM d),
+h AS (
+  SELECT rid, w, label, words, key_start, base, place
+  FROM p JOIN t ON word = k[1] JOIN d USING (rid) WHERE w[place + 1:place + len(k)] = k),
+f AS (
+  SELECT rid, label, base, place,
+         len(list_filter(range(len(words)), lambda j: w[place - key_start + j + 1] = words[j + 1]
+                         AND place - key_start + j >= 0)) / len(words) AS score
+  FROM h),
+g AS (
+  SELECT rid, count(*) FILTER (base) AS n_base, min(place) FILTER (base) AS first_word,
+         max(place) FILTER (base) AS last_word, max(score) AS score,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM f GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, CAST(0 AS DOUBLE)) AS score
+FROM d LEFT JOIN g USING (rid)"""
+
+
+LICENSE = _license()
+
+QUALITY_RULES = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+l AS (SELECT rid, doc_id, text, w, list_filter(string_split(text, chr(10)),
+        lambda x: regexp_matches(x, '{_WORD}')) AS lines FROM d),
+x AS (
+  SELECT rid, unnest(range(len(w) - 7)) AS i,
+         unnest(list_transform(range(len(w) - 7), lambda i: array_to_string(w[i + 1:i + 8], ' '))) AS win
+  FROM d WHERE len(w) >= 8),
+r AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, win) AS n FROM x) WHERE n > 1),
+c AS (SELECT rid, count(DISTINCT i + j) AS n FROM r, range(8) q(j) GROUP BY rid),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+         len(list_filter(w, lambda v: v LIKE '%!!')) AS n_shouted
+  FROM l LEFT JOIN c USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (n_symbols * 10 > n_words * 3 OR n_shouted * 10 > n_words * 3
+         OR word_chars < n_words * 2 OR word_chars > n_words * 25 OR n_dup_lines * 20 > n_words) AS kept
+FROM (SELECT *, n_words < 20 OR n_repeat_words * 100 > n_words * 30 AS base_failed FROM m)"""
+
+TOPK = f"""
+WITH v AS (
+  SELECT vec_id, max(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1),
+         lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""

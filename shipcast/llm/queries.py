@@ -4,17 +4,32 @@ state the same rows."""
 from __future__ import annotations
 
 from . import oracle
+from .bpe import op10_bpe
 from .chat import op5_chat
+from .license_scan import op1_license
 from .mixing import op6_mixing
+from .near_dedup import op8_near_dedup
+from .quality_clf import op7_quality
+from .quality_rules import op3_quality_rules
 from .sharding import op9_sharding
+from .topk import op2_topk
 
 QUERIES = {
+    "op1_license": op1_license,
+    "op2_topk": op2_topk,
+    "op3_quality_rules": op3_quality_rules,
     "op5_chat": op5_chat,
     "op6_mixing": op6_mixing,
+    "op7_quality": op7_quality,
+    "op8_near_dedup": op8_near_dedup,
     "op9_sharding": op9_sharding,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE = {
+    "op1_license": oracle.LICENSE,
+    "op2_topk": oracle.TOPK,
+    "op3_quality_rules": oracle.QUALITY_RULES,
     "op5_chat": oracle.CHAT,
     "op6_mixing": oracle.MIXING,
     "op9_sharding": oracle.SHARDING,
