@@ -1,12 +1,60 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again by ``run``."""
+"""The corpus pipeline over ``documents``: quality classifier, quality rules, near-dedup, mixing
+and BPE. Every stage works on all that the one before it kept, and its output is written as
+Parquet and read again."""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import functions as F
+
+from shipcast.llm import bpe, mixing, near_dedup, quality_clf, quality_rules
+from shipcast.llm.common import documents, stored, whole_text
+
+
+def quality_classifier(spark, docs, sf_dir):
+    """Documents that the classifier, fitted on the labelled ones among them, does not reject."""
+    stats = quality_clf.text_statistics(whole_text())
+    training = quality_clf.labelled_rows(docs.select("doc_id", stats.alias("stats")),
+                                         documents(spark, sf_dir, "labels"))
+    model = quality_clf.fit(quality_clf.checkpointed(training))
+    kept = docs.withColumn("__score", quality_clf.score(stats, model)).where("__score >= 0.5")
+    return kept.drop("__score")
+
+
+def rules(spark, docs, sf_dir):
+    return quality_rules.quality_filter(docs)
+
+
+def deduplicate(spark, docs, sf_dir):
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def mix_sources(spark, docs, sf_dir):
+    return mixing.mix_documents(docs)
+
+
+def encode(spark, docs, sf_dir):
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode_decode(docs, path, public_tokenizers.PATTERN)
+    return bpe.digests(encoded, F.col("ids"))
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("quality rules", rules),
+    ("MinHash near-dedup", deduplicate),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE", encode),
+]
 
 # A fitted classifier and hashed signatures have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = documents(spark, sf_dir)
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = stored(docs)
+    return docs

@@ -265,10 +265,10 @@ def decode(rows: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, *more) -> DataFrame:
     text = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                          F.sha2(text, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+                          F.sha2(text, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *more)
 
 
 def op10_bpe(spark, sf_dir: str) -> DataFrame:

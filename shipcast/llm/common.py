@@ -4,6 +4,7 @@ distributed prefix sums."""
 from __future__ import annotations
 
 import string
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -79,3 +80,11 @@ def prefix_sums(df: DataFrame, order: Sequence[str], sums: dict[str, Column]) ->
     return joined.select(*[F.col(f"`{c}`") for c in df.columns],
                          *[(F.col(n + "l") + F.col(n + "o")).alias(name)
                            for n, name in zip(vals, sums)])
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back: a
+    checkpoint for wide rows, columnar and compressed. The folder is the cluster's scratch space."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

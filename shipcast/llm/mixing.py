@@ -51,17 +51,21 @@ def source_targets(sizes: DataFrame) -> DataFrame:
                       F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(free).alias("target"))
 
 
+def hash_key(doc_id: Column, seed: str) -> Column:
+    return F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")))), 1, 16)
+
+
 def mix(rows: DataFrame, seed: str = SEED) -> DataFrame:
     """``rows`` (doc_id, source, size, tie; extra columns are kept, names not starting with
-    ``__``) plus source_size, target, ``taken`` and ``copies``.
+    ``__``) plus source_size, target, ``taken`` and ``epochs`` and ``more``.
 
     Every source is put in the order of a hash of the id and cut at its rounded target:
     whole epochs first, then documents from the start of the order. ``taken`` counts words,
-    so only the document on the cut is taken in part; ``copies`` counts whole documents, the
-    one on the cut goes in if its middle does. Equal ids are ordered by size and ``tie``; equal
-    rows may swap places. Null ids hash like the text 'null'; null sources are a source."""
-    rows = checkpointed(rows.withColumn("__key", F.substring(F.md5(F.concat(
-        F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 16)))
+    so only the document on the cut is taken in part. For whole documents, ``epochs + more``
+    is the number of copies: ``more`` is 1 up to the cut, the document on it included if its
+    middle is. Equal ids are ordered by size and ``tie``; equal rows may swap places. Null
+    ids hash like the text 'null'; null sources are a source; empty documents take 0 words."""
+    rows = checkpointed(rows.withColumn("__key", hash_key(F.col("doc_id"), seed)))
     per = checkpointed(source_targets(rows)).select(
         F.col("source").alias("__source"), F.col("source_rank").alias("__rank"),
         F.col("source_start").alias("__start"), "source_size", "target")
@@ -76,7 +80,31 @@ def mix(rows: DataFrame, seed: str = SEED) -> DataFrame:
     return placed.select(
         *[F.col(f"`{c}`") for c in rows.columns if c != "__key"], "source_size", "target",
         (epochs * F.col("size") + part).cast("long").alias("taken"),
-        (epochs + more).cast("int").alias("copies"))
+        epochs.cast("int").alias("epochs"), more.alias("more"))
+
+
+def mix_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
+    """The mix itself: the rows of ``docs`` (doc_id, source, text and others), each as often as it is
+    taken whole. Copies go by whole documents, so a source is off its target by half a document
+    at most.
+
+    In hash order a source's last partial epoch is a prefix, so one boundary row per source
+    tells every document its copies and the texts are not shuffled."""
+    placed = mix(document_rows(docs), seed)
+    order = F.struct(hash_key(F.col("doc_id"), seed).alias("key"), F.col("doc_id"), F.col("size"), F.col("tie"))
+    per = checkpointed(placed.groupBy(F.col("source").alias("__source")).agg(
+        F.max("epochs").alias("__epochs"), F.max(F.when(F.col("more") == 1, order)).alias("__last")))
+    rows = join_small(docs, per, F.col("source").eqNullSafe(F.col("__source")), "inner")
+    mine = F.struct(hash_key(F.col("doc_id"), seed).alias("key"), F.col("doc_id"),
+                    word_count(whole_text()).alias("size"), F.md5(whole_text()).alias("tie"))
+    # most rows are decided by the key alone
+    key = F.col("__last.key")
+    inside = F.when(F.col("__last").isNull(), 0).when(mine["key"] != key, (mine["key"] < key).cast("int")) \
+        .otherwise((mine <= F.col("__last")).cast("int"))
+    copies = F.col("__epochs") + inside
+    return (rows.withColumn("__copies", copies).where("__copies > 0")
+            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def document_rows(docs: DataFrame) -> DataFrame:

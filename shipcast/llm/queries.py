@@ -7,6 +7,7 @@ from . import oracle
 from .bpe import op10_bpe
 from .chat import op5_chat
 from .license_scan import op1_license
+from .lm_score import op4_lm
 from .mixing import op6_mixing
 from .near_dedup import op8_near_dedup
 from .quality_clf import op7_quality
@@ -18,6 +19,7 @@ QUERIES = {
     "op1_license": op1_license,
     "op2_topk": op2_topk,
     "op3_quality_rules": op3_quality_rules,
+    "op4_lm": op4_lm,
     "op5_chat": op5_chat,
     "op6_mixing": op6_mixing,
     "op7_quality": op7_quality,
