@@ -147,11 +147,13 @@ m AS (
          CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
-         len(list_filter(w, lambda v: v LIKE '%!!')) AS n_shouted
+         len(list_filter(w, lambda v: v LIKE '%!!')) AS n_shouted,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stuttered
   FROM l LEFT JOIN c USING (rid))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (n_symbols * 10 > n_words * 3 OR n_shouted * 10 > n_words * 3
-         OR word_chars < n_words * 2 OR word_chars > n_words * 25 OR n_dup_lines * 20 > n_words) AS kept
+         OR word_chars < n_words * 2 OR word_chars > n_words * 25 OR n_stuttered * 10 > n_words * 3
+         OR (n_dup_lines >= 3 AND n_dup_lines * 20 > n_words)) AS kept
 FROM (SELECT *, n_words < 20 OR n_repeat_words * 100 > n_words * 30 AS base_failed FROM m)"""
 
 TOPK = f"""

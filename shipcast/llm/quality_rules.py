@@ -50,6 +50,11 @@ def n_shouted(text: Column, words: Column) -> Column:
     return F.regexp_count(text, F.lit(r"!!(?=[\x20\x09-\x0D]|\z)")).cast("long")
 
 
+def n_stuttered(text: Column, words: Column) -> Column:
+    """Words that equal the word before."""
+    return let(words, lambda x: F.size(F.filter(x, lambda w, i: F.get(x, i - 1).eqNullSafe(w))).cast("long"))
+
+
 def lines_with_words(text: Column) -> Column:
     return F.filter(F.split(text, "\n", -1), lambda x: x.rlike(SPACE_WORD))
 
@@ -100,7 +105,7 @@ def n_repeat_words(text: Column, words: Column) -> Column:
 
 
 MEASURES: dict[str, Callable[[Column, Column], Column]] = {
-    f.__name__: f for f in (n_words, word_chars, n_symbols, n_shouted, n_dup_lines, n_repeat_words)}
+    f.__name__: f for f in (n_words, word_chars, n_symbols, n_shouted, n_stuttered, n_dup_lines, n_repeat_words)}
 
 
 @dataclass(frozen=True)
@@ -118,7 +123,8 @@ RULES = (
     Rule("symbols", ("n_symbols", "n_words"), lambda s, n: s * 10 > n * 3),
     Rule("shouting", ("n_shouted", "n_words"), lambda s, n: s * 10 > n * 3),
     Rule("word_length", ("word_chars", "n_words"), lambda c, n: (c < n * 2) | (c > n * 25)),
-    Rule("repeated_lines", ("n_dup_lines", "n_words"), lambda d, n: d * 20 > n),
+    Rule("repeated_lines", ("n_dup_lines", "n_words"), lambda d, n: (d >= 3) & (d * 20 > n)),
+    Rule("stuttering", ("n_stuttered", "n_words"), lambda s, n: s * 10 > n * 3),
 )
 
 
