@@ -1,12 +1,6 @@
-"""Exact k-th row under a total order, without a one-partition global sort.
-
-Used for ordinal (time-based) splits: the cut points are the keys of the rows at ranks
-floor(n * f). Below ``shipcast.quantile.exactAggLimit`` candidate rows, the key is found with
-a bounded top-(k+1) (TakeOrderedAndProject keeps at most k+1 rows per task). Above it, an
-equal-width histogram over the first key column (a map-side-combined group-by returning at
-most ``BUCKETS`` rows) narrows the candidates until they fit that bound; ties on the first
-column are resolved the same way on the next column.
-"""
+"""Exact k-th row under a total order, and running sums, without a one-partition global sort:
+rows are dealt by range of the order, and a table of one row per partition tells what stands
+before each partition."""
 
 from __future__ import annotations
 
@@ -16,68 +10,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .quantile import BUCKETS, MAX_PASSES, _limit
-
-
-def _top_k_last(data: DataFrame, cols: Sequence[str], k: int) -> tuple:
-    """Key of the row at 0-based rank k (k + 1 <= bound)."""
-    top = data.orderBy(*cols).limit(k + 1)
-    row = top.agg(F.max(F.struct(*cols)).alias("m")).first()["m"]
-    return tuple(row[c] for c in cols)
-
 
-def _narrow_first(data: DataFrame, col: str, k: int, bound: int):
-    """Find [lo, hi] on ``col`` holding rank k with at most ``bound`` rows, and the count of
-    rows below lo. Returns (lo, hi, below)."""
-    agg = data.agg(F.min(col), F.max(col)).first()
-    lo, hi, below = agg[0], agg[1], 0
-    for _ in range(MAX_PASSES):
-        x = F.col(col)
-        part = data.where((x >= F.lit(lo)) & (x <= F.lit(hi)))
-        if lo == hi:
-            return lo, hi, below
-        pos = (x.cast("double") - F.lit(float(lo))) / F.lit(float(hi) - float(lo)) * BUCKETS
-        hist = (part.groupBy(F.least(F.floor(pos), F.lit(BUCKETS - 1)).alias("b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min(col).alias("mn"), F.max(col).alias("mx"))
-                .orderBy("b").collect())  # at most BUCKETS rows
-        seen = 0
-        for r in hist:
-            if seen + r["c"] > k - below:
-                lo, hi = r["mn"], r["mx"]
-                below += seen
-                if r["c"] <= bound or lo == hi:
-                    return lo, hi, below
-                break
-            seen += r["c"]
-    raise RuntimeError("k-th row narrowing did not converge")
-
-
-def kth_key(df: DataFrame, cols: Sequence[Column | str], k: int, n: int | None = None) -> tuple:
-    """Values of ``cols`` (integral, e.g. unix micros and an id) at 0-based rank k of the
-    ascending lexicographic order."""
+def kth_key(df: DataFrame, cols: Sequence[Column | str], k: int) -> tuple:
+    """Values of ``cols`` at 0-based rank k of their ascending lexicographic order."""
     names = [f"__k{i}" for i in range(len(cols))]
     data = df.select(*[(F.col(c) if isinstance(c, str) else c).alias(nm)
                        for c, nm in zip(cols, names)])
-    bound = _limit(df)
-    if n is None:
-        n = data.count()
-    if not 0 <= k < n:
-        raise IndexError(f"rank {k} outside 0..{n - 1}")
-    prefix: list = []
-    while True:
-        if n <= bound:
-            return tuple(prefix) + _top_k_last(data, names, k)
-        col = names[0]
-        lo, hi, below = _narrow_first(data, col, k, bound)
-        k -= below
-        data = data.where((F.col(col) >= F.lit(lo)) & (F.col(col) <= F.lit(hi)))
-        if lo == hi:  # every candidate shares the first key: resolve on the next column
-            prefix.append(lo)
-            names = names[1:]
-            data = data.drop(col)
-            if not names:
-                return tuple(prefix)
-        n = data.count()
+    dealt = (data.repartitionByRange(*names).withColumn("__pid", F.spark_partition_id())
+             .checkpoint(eager=True))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__c").over(before), F.lit(0)))
+    home = sizes.where((F.col("__before") <= k) & (F.lit(k) < F.col("__before") + F.col("__c"))).first()
+    if home is None:
+        raise IndexError(f"no row at rank {k}")
+    rank = F.row_number().over(Window.partitionBy("__pid").orderBy(*names))
+    row = (dealt.where(F.col("__pid") == home["__pid"]).withColumn("__r", rank)
+           .where(F.col("__r") == k - home["__before"] + 1).first())
+    return tuple(row[c] for c in names)
 
 
 def global_running_sum(df: DataFrame, order: Sequence[Column], value: str) -> DataFrame:
@@ -86,10 +36,9 @@ def global_running_sum(df: DataFrame, order: Sequence[Column], value: str) -> Da
     by sampling; the order must be total, e.g. end with a unique id), each partition computes
     its local running values, and the per-partition totals (one row per partition) give the
     offsets through a window over that tiny table."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # checkpointed: read by two branches below, and a re-executed range exchange could
     # sample different boundaries (row order after a shuffle is not deterministic)
-    r = df.repartitionByRange(parts, *order).withColumn("__pid", F.spark_partition_id()) \
+    r = df.repartitionByRange(*order).withColumn("__pid", F.spark_partition_id()) \
           .checkpoint(eager=True)
     lw = Window.partitionBy("__pid").orderBy(*order)
     local = r.select("*", F.row_number().over(lw).alias("__lrank"),

@@ -1,30 +1,24 @@
 """Exact, interpolated quantiles (pandas ``quantile`` / DuckDB ``quantile_cont`` semantics).
 
-Spark's exact ``percentile`` aggregate merges a value -> count map per group in one task,
-so its memory grows with the number of distinct values of the largest group. We use it only
-when every group is at most ``shipcast.quantile.exactAggLimit`` rows (a checked bound).
-Above that, the k-th value of each group is found by histogram narrowing: every pass is a
-map-side-combined ``groupBy(keys, rank, bucket)`` with at most ``BUCKETS`` rows per target
-rank, so a group holding a third of all rows is spread over every task and no task ever
-holds more than one bucket table. The small per-rank state is checkpointed each pass.
+One path for every size: equal values are counted with map-side combining, the counted
+values are dealt by range of (group, value), each partition sums its counts, and one row per
+(partition, group) tells how many rows of the group stand before it. The values at the two
+ranks around a quantile are then picked by an aggregation. No task ever holds a group: one
+that has a third of all rows is spread over many partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BUCKETS = 1024
-DEFAULT_EXACT_AGG_LIMIT = 2_000_000
-MAX_PASSES = 200
 
-
-def _limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("shipcast.quantile.exactAggLimit",
-                                        str(DEFAULT_EXACT_AGG_LIMIT)))
+def _same(left: str, right: str, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
 def quantiles(df: DataFrame, value, probs: Mapping[str, float],
@@ -37,83 +31,38 @@ def quantiles(df: DataFrame, value, probs: Mapping[str, float],
     # NULL and NaN are both missing values (pandas skips NaN in quantiles)
     data = df.select(*keys, x.cast("double").alias("__x")).where(
         F.col("__x").isNotNull() & ~F.isnan("__x"))
-    sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    largest = sizes.agg(F.max("__n")).first()[0]
-    if largest is None or largest <= _limit(df):
-        aggs = [F.percentile("__x", float(p)).alias(name) for name, p in probs.items()]
-        out = data.groupBy(*keys).agg(*aggs)
-        if not keys:
-            return out
-        # groups whose values are all NULL still get a row (with NULL quantiles)
-        return df.select(*keys).distinct().join(out, keys, "left")
-    if keys:
-        return _narrowed(df, data, sizes, probs, keys)
-    # one global group: give it a constant key so the same grouped plan applies
-    data = data.withColumn("__g", F.lit(0))
-    sizes = sizes.withColumn("__g", F.lit(0))
-    out = _narrowed(data, data, sizes, probs, ["__g"])
-    out = out.drop("__g")
-    if out.isEmpty():
-        return df.sparkSession.createDataFrame(
-            [tuple([None] * len(probs))], ", ".join(f"{n} double" for n in probs))
-    return out
-
-
-def _narrowed(df: DataFrame, data: DataFrame, sizes: DataFrame, probs: Mapping[str, float],
-              keys: list[str]) -> DataFrame:
-    # ranks to locate: floor and ceil of h = (n - 1) * p, 0-based
-    rank_rows = []
+    counted = data.groupBy(*keys, "__x").agg(F.count(F.lit(1)).alias("__c"))
+    # checkpointed: two branches read the dealt rows and must see the same boundaries
+    dealt = (counted.repartitionByRange(*keys, "__x").withColumn("__pid", F.spark_partition_id())
+             .checkpoint(eager=True))
+    part = ["__pid", *keys]
+    sums = dealt.groupBy(*part).agg(F.sum("__c").alias("__pc"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*part, F.coalesce(F.sum("__pc").over(before), F.lit(0)).alias("__before"),
+                       F.sum("__pc").over(group).alias("__n"))
+    upto = Window.partitionBy(*part).orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
+    local = dealt.select("*", F.sum("__c").over(upto).alias("__upto"))
+    placed = local.alias("l").join(sums.alias("s"), _same("l", "s", part)).select(
+        *[F.col(f"l.{k}") for k in keys], "__x", "__n",
+        (F.col("__before") + F.col("__upto")).alias("__end"),
+        (F.col("__before") + F.col("__upto") - F.col("__c")).alias("__start"))
+    aggs = [F.max("__n").alias("__n")]
+    for i, p in enumerate(probs.values()):
+        h = (F.col("__n") - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            inside = (F.col("__start") <= rank) & (rank < F.col("__end"))
+            aggs.append(F.max(F.when(inside, F.col("__x"))).alias(f"__{side}{i}"))
+    found = placed.groupBy(*keys).agg(*aggs)
+    cols = []
     for i, (name, p) in enumerate(probs.items()):
         h = (F.col("__n") - 1) * F.lit(float(p))
-        rank_rows.append(sizes.select(*keys, F.lit(i).alias("__q"), F.lit(0).alias("__side"),
-                                      F.floor(h).cast("long").alias("__rank"),
-                                      (h - F.floor(h)).alias("__frac")))
-        rank_rows.append(sizes.select(*keys, F.lit(i).alias("__q"), F.lit(1).alias("__side"),
-                                      F.ceil(h).cast("long").alias("__rank"),
-                                      (h - F.floor(h)).alias("__frac")))
-    targets = rank_rows[0]
-    for r in rank_rows[1:]:
-        targets = targets.unionByName(r)
-    bounds = data.groupBy(*keys).agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
-    state = (targets.join(bounds, keys)
-             .select(*keys, "__q", "__side", "__rank", "__frac", "__lo", "__hi",
-                     F.lit(0).cast("long").alias("__below"),
-                     (F.col("__lo") == F.col("__hi")).alias("__done"))
-             .checkpoint())
-    sid = [*keys, "__q", "__side"]
-    for _ in range(MAX_PASSES):
-        active = state.where(~F.col("__done"))
-        if active.isEmpty():
-            break
-        j = data.join(active.select(*sid, "__rank", "__lo", "__hi", "__below"), keys)
-        j = j.where((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
-        pos = (F.col("__x") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * BUCKETS
-        j = j.withColumn("__b", F.least(F.floor(pos), F.lit(BUCKETS - 1)).cast("int"))
-        hist = j.groupBy(*sid, "__rank", "__below", "__b").agg(
-            F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__bmin"),
-            F.max("__x").alias("__bmax"))
-        w = Window.partitionBy(*sid).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-        local = F.col("__rank") - F.col("__below")
-        picked = hist.where((F.col("__before") <= local) & (local < F.col("__before") + F.col("__c")))
-        moved = picked.select(*sid, F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"),
-                              (F.col("__below") + F.col("__before")).alias("__below"),
-                              (F.col("__bmin") == F.col("__bmax")).alias("__done"))
-        done = state.where(F.col("__done"))
-        still = state.where(~F.col("__done")).select(*sid, "__rank", "__frac").join(moved, sid)
-        state = done.unionByName(still.select(*done.columns)).checkpoint()
-    lo_side = state.where(F.col("__side") == 0).select(*keys, "__q", "__frac",
-                                                        F.col("__lo").alias("__vlo"))
-    hi_side = state.where(F.col("__side") == 1).select(*keys, "__q", F.col("__lo").alias("__vhi"))
-    val = lo_side.join(hi_side, [*keys, "__q"]).select(
-        *keys, "__q",
-        (F.col("__vlo") + F.col("__frac") * (F.col("__vhi") - F.col("__vlo"))).alias("__v"))
-    names = list(probs)
-    out = val.groupBy(*keys).pivot("__q", list(range(len(names)))).agg(F.first("__v"))
-    out = out.select(*keys, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
-    return df.select(*keys).distinct().join(out, keys, "left")
-
-
-def quantile_scalar(df: DataFrame, value, p: float):
-    """One exact quantile as a Python float (a single scalar, used as a literal)."""
-    return quantiles(df, value, {"q": p}).select("q").first()[0]
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        cols.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
+    out = found.select(*keys, *cols)
+    if not keys:
+        return out
+    # groups whose values are all missing still get a row (with NULL quantiles)
+    every = df.select(*keys).distinct()
+    return every.alias("e").join(out.alias("o"), _same("e", "o", keys), "left").select(
+        *[F.col(f"e.{k}") for k in keys], *list(probs))

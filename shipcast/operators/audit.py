@@ -126,7 +126,8 @@ def error_distribution(err: DataFrame) -> DataFrame:
 def fallback_value(err: DataFrame, col: str = "seller_avg_delivery") -> Column:
     """The most frequent value of ``col`` (smallest on ties): how the reference spots sellers
     that got the global fallback."""
-    return err.agg(F.mode(col, True)).scalar()
+    counts = err.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.desc("n"), col).limit(1).select(col).scalar()
 
 
 def trust_boundaries(err: DataFrame, y: str = TARGET) -> DataFrame:

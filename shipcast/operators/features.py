@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions import timeops as t
 from ..functions.exprs import clip, haversine_km
-from ..functions.joins import bounded_broadcast
 from ..functions.quantile import quantiles
 from ..sources.tables import Market
 
@@ -100,14 +99,14 @@ def order_items_enriched(m: Market, targets: DataFrame) -> DataFrame:
     oi = oi.join(prods, "product_id", "left")
     oi = oi.join(m.sellers.select("seller_id", "seller_zip_code_prefix", "seller_state"),
                  "seller_id", "left")
-    geo = bounded_broadcast(geo_lookup(m.geo))        # zip prefixes: a bounded domain
+    geo = geo_lookup(m.geo)
     sg = geo.select(F.col("zip_code_prefix").alias("s_zip"), F.col("lat").alias("seller_lat"),
                     F.col("lng").alias("seller_lng"))
     cg = geo.select(F.col("zip_code_prefix").alias("c_zip"), F.col("lat").alias("cust_lat"),
                     F.col("lng").alias("cust_lng"))
     oi = oi.join(sg, F.col("seller_zip_code_prefix") == F.col("s_zip"), "left")
     oi = oi.join(cg, F.col("customer_zip_code_prefix") == F.col("c_zip"), "left")
-    oi = oi.join(bounded_broadcast(m.translation), "product_category_name", "left")
+    oi = oi.join(m.translation, "product_category_name", "left")
     ts = F.col("order_purchase_timestamp")
     return oi.select(
         "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value",

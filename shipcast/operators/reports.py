@@ -17,7 +17,6 @@ from pyspark.sql.window import Window
 
 from ..functions import timeops as t
 from ..functions.exprs import bucket, bucket_order, clip_between, half_even
-from ..functions.joins import bounded_broadcast
 from ..functions.ordinal import global_running_sum
 from ..functions.quantile import quantiles
 from ..functions.scalars import scalars
@@ -116,12 +115,12 @@ def presence(reviews: DataFrame) -> DataFrame:
         (F.col("has_comment") / F.col("n_reviews") * 100).alias("comment_pct"))
 
 
-def reviews_with_orders(m: Market) -> DataFrame:
-    """JN-09 + PRJ-04/05: reviews with their order's timestamps, floored delay, status and
-    days to review."""
+def reviews_with_orders(m: Market, texts: bool = False) -> DataFrame:
+    """JN-09 + PRJ-04/05: reviews (with their texts on request) with their order's timestamps,
+    floored delay, status and days to review."""
     o = m.orders.select("order_id", "order_purchase_timestamp", "order_delivered_customer_date",
                         "order_estimated_delivery_date", "customer_id")
-    r = m.reviews.join(o, "order_id", "left")
+    r = (m.reviews if texts else m.review_scores).join(o, "order_id", "left")
     delay = t.floor_days("order_delivered_customer_date", "order_estimated_delivery_date")
     status = (F.when(F.col("order_delivered_customer_date").isNull(), "Not Delivered")
               .when(delay > 0, "Late").otherwise("On Time"))
@@ -223,7 +222,7 @@ def late_summary(delivered: DataFrame) -> DataFrame:
 
 def delivered_with_reviews(m: Market) -> DataFrame:
     """JN-11: delivered orders with their mean review score."""
-    return delivered_status_orders(m.orders).join(reviews_per_order(m.reviews), "order_id", "left")
+    return delivered_status_orders(m.orders).join(reviews_per_order(m.review_scores), "order_id", "left")
 
 
 def score_by_lateness(df_rev: DataFrame) -> DataFrame:
@@ -268,7 +267,7 @@ def delay_bucket_scores(df_rev: DataFrame) -> DataFrame:
 def order_first_category(m: Market) -> DataFrame:
     """PRJ-15 + W-02: per order the first non-NULL category (English name, native name if
     untranslated) and the first non-NULL product weight, in item order."""
-    prods = m.products.join(bounded_broadcast(m.translation), "product_category_name", "left").select(
+    prods = m.products.join(m.translation, "product_category_name", "left").select(
         "product_id", F.coalesce("product_category_name_english", "product_category_name")
         .alias("category"), "product_weight_g")
     ip = m.items.join(prods, "product_id", "left")
@@ -374,7 +373,7 @@ def seller_table(m: Market) -> DataFrame:
         F.avg("price").alias("avg_order_value"),
         F.min("order_purchase_timestamp").alias("first_order"),
         F.max("order_purchase_timestamp").alias("last_order"))
-    rev = (m.items.select("order_id", "seller_id").join(reviews_per_order(m.reviews), "order_id", "left")
+    rev = (m.items.select("order_id", "seller_id").join(reviews_per_order(m.review_scores), "order_id", "left")
            .groupBy("seller_id").agg(F.avg("review_score").alias("avg_review_score"),
                                      F.count("review_score").alias("review_count")))
     late = (delivered_with_states(m).where(F.col("seller_id").isNotNull()).groupBy("seller_id")
@@ -460,7 +459,7 @@ def correlation_frame(m: Market) -> DataFrame:
     d = (d.join(payments_per_order(m.payments), "order_id", "left")
           .join(items_per_order(m.items), "order_id", "left")
           .join(order_first_category(m), "order_id", "left")
-          .join(reviews_per_order(m.reviews), "order_id", "left"))
+          .join(reviews_per_order(m.review_scores), "order_id", "left"))
     return d.select(
         "order_id", F.col("is_late").cast("int").alias("is_late_int"), "review_score", "delay_days",
         "payment_value", "payment_installments", "n_items", "total_freight", "total_price",
@@ -535,7 +534,7 @@ def histogram(df: DataFrame, col: str, bins: int, keys: Sequence[str] = (),
 def readiness_summary(m: Market) -> DataFrame:
     """AG-45: late-delivery and churn problem summary in one row."""
     d = delivered_status_orders(m.orders)
-    df_rev = d.join(reviews_per_order(m.reviews), "order_id", "left")
+    df_rev = d.join(reviews_per_order(m.review_scores), "order_id", "left")
     sellers = seller_churn(seller_table(m))
     a = d.agg((F.avg(F.col("is_late").cast("double")) * 100).alias("late_rate_pct"),
               F.count(F.lit(1)).alias("n_delivered"))

@@ -45,7 +45,7 @@ def assign_split(df: DataFrame, fractions: Sequence[float] = (0.70, 0.85),
         if r >= n:
             cond = F.lit(True)
         else:
-            ts_cut, id_cut = kth_key(df, key_cols, r, n)
+            ts_cut, id_cut = kth_key(df, key_cols, r)
             k_ts = F.unix_micros(F.col(TS))
             cond = (k_ts < F.lit(ts_cut)) | ((k_ts == F.lit(ts_cut)) & (F.col(TIE) < F.lit(id_cut)))
         label = F.when(cond, lab) if label is None else label.when(cond, lab)
@@ -212,7 +212,8 @@ def notebook_split(features_geo: DataFrame) -> DataFrame:
     out = out.withColumn("seller_tenure_days", t.floor_days(TS, "seller_first_order_date"))
     out = out.join(keyed_delivery_stats(train, "route", "route"), "route", "left")
     out = out.join(keyed_delivery_stats(train, "state_pair", "state_pair"), "state_pair", "left")
-    out = out.withColumn("num_items_in_order", F.lit(1).cast("long"))  # AG-11 as written
+    # AG-11: rows per order, counted after the roll-up to orders as the notebook does
+    out = out.withColumn("num_items_in_order", F.count(F.lit(1)).over(Window.partitionBy("order_id")))
     out = out.withColumn("delivery_time_log", F.log1p("delivery_time_days"))  # PRJ-10
     # rolling features: train rows from their own past, test rows get the seller's last value
     roll = rolling_seller_stats(out.where(F.col("split") == "train"))
@@ -232,6 +233,7 @@ def notebook_split(features_geo: DataFrame) -> DataFrame:
     return both.withColumn("distance_km", F.coalesce(F.col("distance_km"), dist_med))
 
 
+# fixed values of the reference: the notebook's model inputs
 NOTEBOOK_NUMERIC = [
     "distance_km", "product_weight_kg", "product_volume_cm3", "price", "freight_value",
     "freight_ratio", "purchase_hour", "seller_avg_delivery", "seller_std_delivery",

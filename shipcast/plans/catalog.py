@@ -112,7 +112,10 @@ def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     their scalar subqueries stay small) and survives the loss of an executor. Wide,
     shallow frames (review texts) are persisted instead; a lost block is recomputed from
     its short lineage."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _PERSISTED if k[0] != app]:    # frames of ended applications
+        del _PERSISTED[old]
+    key = (app, sf_dir.rstrip("/"), name)
     df = _PERSISTED.get(key)
     if df is None:
         df = build()

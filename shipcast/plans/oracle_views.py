@@ -25,8 +25,9 @@ VIEWS = {
     "v_payments": """SELECT o_orderkey AS order_id, 1 AS payment_sequential, o_orderpriority AS payment_type, CAST(o_orderkey % 10 + 1 AS INT) AS payment_installments, o_totalprice AS payment_value FROM orders WHERE o_orderkey % 100 <> 99
  UNION ALL SELECT o_orderkey, 2, 'voucher', 1, CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.05 AS DECIMAL(3,2)), 2) AS DOUBLE) FROM orders WHERE o_orderkey % 13 = 0""",
     "v_reviews": """SELECT o_orderkey AS review_id, o_orderkey AS order_id, CAST(1 + (o_orderkey * 17 + o_orderkey % 7) % 5 AS INT) AS review_score, CASE WHEN o_orderkey % 3 = 0 THEN text END AS review_comment_message,
- CASE WHEN o_orderkey % 9 = 0 THEN source END AS review_comment_title, o_orderdate + INTERVAL '1' DAY * (10 + o_orderkey % 40) AS review_answer_timestamp
- FROM orders LEFT JOIN documents ON doc_id = o_orderkey % 200 WHERE o_orderkey % 30 <> 29""",
+ CASE WHEN o_orderkey % 9 = 0 THEN source END AS review_comment_title, o_orderdate + INTERVAL '1' DAY * (10 + o_orderkey % 40) AS review_answer_timestamp,
+ o_orderdate + INTERVAL '1' DAY * (9 + o_orderkey % 40) AS review_creation_date
+ FROM orders LEFT JOIN documents ON doc_id = o_orderkey % (SELECT max(doc_id) + 1 FROM documents) WHERE o_orderkey % 30 <> 29""",
 }
 
 

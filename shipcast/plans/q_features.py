@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..operators import features as fe
 from ..sources.tables import ROLE_TABLES
 from ..functions import timeops as t
-from ..functions.joins import bounded_broadcast
 from .catalog import days_sql, finalize, market, query, shared, ts_sql
 
 
@@ -257,7 +256,7 @@ def jn_04(spark, sf_dir):
        FEATURE_CTES)
 def jn_05(spark, sf_dir):
     m = market(spark, sf_dir)
-    geo = bounded_broadcast(fe.geo_lookup(m.geo))
+    geo = fe.geo_lookup(m.geo)
     oi = enriched_items(spark, sf_dir).select("order_id", "order_item_id",
                                                "seller_zip_code_prefix", "customer_zip_code_prefix")
     sg = geo.select(F.col("zip_code_prefix").alias("s_zip"), F.col("lat").alias("seller_lat"),

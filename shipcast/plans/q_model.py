@@ -24,24 +24,22 @@ from .q_split import SPLIT_CTES, _model_cols_sql, model_frame, notebook_frame
 _RUNS: dict = {}
 
 
-SMALL_HEAP_BYTES = 6 * 2 ** 30
-SMALL_HEAP_TREES = 20
+def run_key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """Key of a cached run; runs of applications that have ended are forgotten."""
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _RUNS if k[0] != app]:
+        del _RUNS[old]
+    return app, sf_dir.rstrip("/"), name
 
 
-def n_trees(spark: SparkSession) -> int:
-    """Trees per ensemble: ``shipcast.model.trees`` when set, else the reference's 200 when
-    the driver (which collects every fitted model) has a heap of at least 6 GiB, else 20 so
-    that a small driver cannot be brought down by the largest forest."""
-    conf = spark.conf.get("shipcast.model.trees", None)
-    if conf:
-        return int(conf)
-    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
-    return md.DEFAULT_TREES if heap >= SMALL_HEAP_BYTES else SMALL_HEAP_TREES
+def n_trees(spark: SparkSession, default: int = md.DEFAULT_TREES) -> int:
+    """Trees per ensemble: ``shipcast.model.trees`` when the job sets it, else ``default``."""
+    return int(spark.conf.get("shipcast.model.trees", None) or default)
 
 
 def main_run(spark: SparkSession, sf_dir: str) -> dict:
     """Fit the seven candidates on train, rank on validation, score test once (cached)."""
-    key = (id(spark), sf_dir.rstrip("/"), "main")
+    key = run_key(spark, sf_dir, "main")
     if key not in _RUNS:
         mf = model_frame(spark, sf_dir)
         train, val, test = (mf.where(F.col("split") == s) for s in ("train", "val", "test"))
@@ -53,19 +51,20 @@ def main_run(spark: SparkSession, sf_dir: str) -> dict:
     return _RUNS[key]
 
 
+# fixed values of the reference: the notebook's model presets
 NB_PRESETS = dict(gbt_step=0.1, gbt_depth=5, rf_min_leaf=1, gbt_subsample=1.0)
 NB_TREES = 100
 
 
 def notebook_run(spark: SparkSession, sf_dir: str) -> dict:
     """ML-08 / ML-09: the notebook's log-target experiment with its model presets."""
-    key = (id(spark), sf_dir.rstrip("/"), "notebook")
+    key = run_key(spark, sf_dir, "notebook")
     if key not in _RUNS:
         nb = notebook_frame(spark, sf_dir)
         cols = list(dict.fromkeys(sp.NOTEBOOK_NUMERIC + sp.NOTEBOOK_CATEGORICAL))
         nb = nb.dropna(subset=cols)
         train, test = nb.where(F.col("split") == "train"), nb.where(F.col("split") == "test")
-        trees = min(NB_TREES, n_trees(spark))
+        trees = n_trees(spark, NB_TREES)
         comp = md.compare(train, test, n_trees=trees, numeric=sp.NOTEBOOK_NUMERIC,
                           categorical=sp.NOTEBOOK_CATEGORICAL, label="delivery_time_log", **NB_PRESETS)
         rows = []
@@ -73,7 +72,8 @@ def notebook_run(spark: SparkSession, sf_dir: str) -> dict:
             s = pipe.transform(test).select(TARGET, F.expm1("prediction").alias("prediction"))
             m = au.metrics(s).first().asDict()
             rows.append({"model": name, **{k: m[k] for k in ("MAE", "RMSE", "R2", "within_2d")}})
-        _RUNS[key] = {"comp": comp, "results": spark.createDataFrame(rows)}
+        # ranked in days: the models are fitted on log days
+        _RUNS[key] = {"comp": comp, "results": spark.createDataFrame(rows).orderBy("MAE", "model")}
     return _RUNS[key]
 
 
@@ -132,7 +132,7 @@ def tk_04(spark, sf_dir):
 def scored_test(spark, sf_dir) -> DataFrame:
     r = main_run(spark, sf_dir)
     req = r["test"].select("order_id", *sc.REQUEST_FIELDS)
-    return sc.score(req, r["best"], r["comp"].feature_names, r["comp"].encoded_train)
+    return sc.score(req, r["best"], r["comp"].feature_names, r["comp"].feature_means)
 
 
 @query("ml_06")
@@ -168,11 +168,12 @@ def ml_08(spark, sf_dir):
 @query("ml_09")
 def ml_09(spark, sf_dir):
     """ML-09: the notebook's model presets, with their validation ranking."""
-    comp = notebook_run(spark, sf_dir)["comp"]
+    run = notebook_run(spark, sf_dir)
+    comp = run["comp"]
     presets = spark.createDataFrame(
-        [(n, NB_TREES, NB_PRESETS["gbt_step"], NB_PRESETS["gbt_depth"]) for n in comp.pipelines],
+        [(n, comp.n_trees, NB_PRESETS["gbt_step"], NB_PRESETS["gbt_depth"]) for n in comp.pipelines],
         "model string, n_trees long, gbt_learning_rate double, gbt_depth long")
-    return finalize(presets.join(comp.results.select("model", "val_MAE"), "model"))
+    return finalize(presets.join(run["results"].select("model", F.col("MAE").alias("val_MAE")), "model"))
 
 
 # --- projections of scoring that need no fitted model: checked against DuckDB -------------------
@@ -272,12 +273,10 @@ def src_03(spark, sf_dir):
     """SRC-03: re-load model, metadata and the written test split; score the test split."""
     path = _out(spark, sf_dir, "models")
     r = main_run(spark, sf_dir)
-    if not os.path.exists(path) and "://" not in path:
-        md.save_run(r["comp"], md.metadata_frame(spark, r["comp"], r["test_metrics"]), path)
+    md.save_run(r["comp"], md.metadata_frame(spark, r["comp"], r["test_metrics"]), path)
     model, meta = md.load_run(spark, path)
     splits = _out(spark, sf_dir, "splits.parquet")
-    if not os.path.exists(splits) and "://" not in splits:
-        snk_02(spark, sf_dir).count()
+    snk_02(spark, sf_dir)
     test = spark.read.parquet(splits).where(F.col("split") == "test")  # partition pruning
     best = meta.select("best_model").first()[0]
     return finalize(model.transform(test).select("order_id", F.lit(best).alias("model"), "prediction"))
@@ -294,8 +293,8 @@ def st_01(spark, sf_dir):
     r = main_run(spark, sf_dir)
     run = uuid.uuid4().hex[:8]
     req_dir = _out(spark, sf_dir, f"stream-{run}/requests")
-    r["test"].select(*[f.name for f in sc.REQUEST_SCHEMA.fields]).repartition(4).write.parquet(req_dir)
+    r["test"].select(*[f.name for f in sc.REQUEST_SCHEMA.fields]).write.parquet(req_dir)
     out = run_to_completion(spark, req_dir, _out(spark, sf_dir, f"stream-{run}/scored"),
                             _out(spark, sf_dir, f"stream-{run}/checkpoint"), r["best"],
-                            r["comp"].feature_names, r["comp"].encoded_train)
+                            r["comp"].feature_names, r["comp"].feature_means)
     return out.select("order_id", "predicted_delivery_days", "confidence_note", "top_features")

@@ -112,7 +112,7 @@ def ag_13(spark, sf_dir):
 
 @query("ag_14", "SELECT order_id, round(review_score, 6) AS review_score FROM e_rev", EDA_CTES)
 def ag_14(spark, sf_dir):
-    return finalize(rp.reviews_per_order(market(spark, sf_dir).reviews))
+    return finalize(rp.reviews_per_order(market(spark, sf_dir).review_scores))
 
 
 @query("ag_16", """SELECT (SELECT count(DISTINCT order_id) FROM v_orders) AS orders_distinct,

@@ -139,8 +139,8 @@ def prj_16(spark, sf_dir):
 def ml_12(spark, sf_dir):
     """ML-12: split + encodings end to end."""
     mf = model_frame(spark, sf_dir)
-    return finalize(sp.model_inputs(mf).join(
-        mf.select("order_id", "seller_id", "order_purchase_timestamp"), "order_id"))
+    cols = dict.fromkeys([*sp.model_inputs(mf).columns, "seller_id", "order_purchase_timestamp"])
+    return finalize(mf.select(*cols))
 
 
 # --- notebook extensions -----------------------------------------------------------------------
@@ -211,7 +211,7 @@ def ag_10(spark, sf_dir):
     return finalize(sp.keyed_delivery_stats(train, "state_pair", "state_pair"))
 
 
-@query("ag_11", "SELECT order_id, CAST(1 AS BIGINT) AS num_items_in_order FROM t_nsplit", NB_CTES)
+@query("ag_11", "SELECT order_id, count(*) OVER (PARTITION BY order_id) AS num_items_in_order FROM t_nsplit", NB_CTES)
 def ag_11(spark, sf_dir):
     """AG-11: order complexity as the notebook computes it (rows per order after roll-up)."""
     return finalize(notebook_frame(spark, sf_dir).select("order_id", "num_items_in_order"))

@@ -16,7 +16,7 @@ from .q_reports import EDA_CTES
 
 def sentiment_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
-        rwo = rp.reviews_with_orders(market(spark, sf_dir)).select(
+        rwo = rp.reviews_with_orders(market(spark, sf_dir), texts=True).select(
             "review_id", "review_score", "review_comment_message", "order_delivered_customer_date")
         # tokenising is the CPU-heavy step: give it every task slot
         commented = spread(rt.commented_by_sentiment(rwo), scan_partitions(spark, sf_dir, "orders"))

@@ -15,9 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from ..functions.scalars import scalars
 
-from ..functions.grouped import grouped_row_number
-from ..functions.joins import bounded_broadcast
 
 _L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
@@ -104,12 +105,12 @@ def orders_role(orders: DataFrame) -> DataFrame:
 
 
 def items_role(lineitem: DataFrame) -> DataFrame:
-    # order_item_id needs a full tie-break: (l_orderkey, l_linenumber) is not a key. The
-    # numbering is a per-order row_number computed over range partitions, so even an order
-    # holding a huge share of the lines is not sorted in one task.
+    # order_item_id needs a full tie-break: (l_orderkey, l_linenumber) is not a key. Lines are
+    # numbered inside their order after one hash exchange on the order key, which a join on
+    # order_id can reuse; a query that does not read the number pays nothing.
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
-    numbered = grouped_row_number(lineitem.select("l_orderkey", *order, "l_tax"), ["l_orderkey"],
-                                  order, "order_item_id")
+    numbered = lineitem.select("l_orderkey", *order, "l_tax").withColumn(
+        "order_item_id", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order)))
     return numbered.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("order_item_id").cast("int").alias("order_item_id"),
@@ -148,7 +149,7 @@ def _present_keys(part: DataFrame, modulus: int) -> DataFrame:
 
 def sellers_role(supplier: DataFrame, nation: DataFrame, part: DataFrame) -> DataFrame:
     # 20 seller slots per supplier: a bounded expansion, then keep only slots that occur.
-    base = supplier.join(bounded_broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    base = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     expanded = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("k"))
     # at most 20 rows (a key modulo 20): broadcast by construction
     expanded = expanded.join(F.broadcast(_present_keys(part, 20)), "k", "left_semi")
@@ -160,7 +161,7 @@ def sellers_role(supplier: DataFrame, nation: DataFrame, part: DataFrame) -> Dat
 
 
 def customers_role(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    return customer.join(bounded_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("customer_id"),
         (F.col("c_nationkey") * 4 + F.col("c_custkey") % 4).alias("customer_zip_code_prefix"),
         F.col("n_name").alias("customer_state"),
@@ -200,22 +201,35 @@ def payments_role(orders: DataFrame) -> DataFrame:
     return first.unionByName(voucher)
 
 
-def reviews_role(orders: DataFrame, documents: DataFrame) -> DataFrame:
-    # Only documents 0..199 can match ``o_orderkey % 200``; stating the range lets the scan
-    # prune everything else and bounds the broadcast side to 200 rows.
+def review_scores_role(orders: DataFrame) -> DataFrame:
+    """Reviews without their texts: no join with the documents."""
     k = F.col("o_orderkey")
-    docs = documents.where(F.col("doc_id").between(0, 199)).select("doc_id", "text", "source")
-    o = orders.where(k % 30 != 29).select(k, "o_orderdate", (k % 200).alias("doc_key"))
-    j = o.join(bounded_broadcast(docs, 200), F.col("doc_key") == F.col("doc_id"), "left")
-    return j.select(
+    return orders.where(k % 30 != 29).select(
         k.alias("review_id"), k.alias("order_id"),
         (1 + (k * 17 + k % 7) % 5).cast("int").alias("review_score"),
-        F.when(k % 3 == 0, F.col("text")).alias("review_comment_message"),
-        F.when(k % 9 == 0, F.col("source")).alias("review_comment_title"),
         _plus_seconds(F.col("o_orderdate"), (10 + k % 40) * 86400).alias("review_answer_timestamp"),
+        _plus_seconds(F.col("o_orderdate"), (9 + k % 40) * 86400).alias("review_creation_date"),
     )
 
 
+def reviews_role(orders: DataFrame, documents: DataFrame) -> DataFrame:
+    """Every third review carries the text of a document, every ninth its source as a title. The
+    key runs over all documents, whatever their number. Reviews without a text do not enter
+    the join, so they do not pile up on a null key."""
+    scores = review_scores_role(orders)
+    k = F.col("review_id")
+    n_docs = scalars(documents.agg((F.max("doc_id") + 1).alias("n")))["n"]
+    commented = scores.where(k % 3 == 0).withColumn("doc_key", k % n_docs)
+    docs = documents.select("doc_id", "text", "source")
+    joined = commented.join(docs, F.col("doc_key") == F.col("doc_id"), "left").select(
+        *scores.columns, F.col("text").alias("review_comment_message"),
+        F.when(k % 9 == 0, F.col("source")).alias("review_comment_title"))
+    silent = scores.where(k % 3 != 0).select(
+        *scores.columns, F.lit(None).cast("string").alias("review_comment_message"),
+        F.lit(None).cast("string").alias("review_comment_title"))
+    return joined.unionByName(silent)
+
+
 @dataclass(frozen=True)
 class Market:
     """Handle on the nine marketplace tables (one lazy DataFrame each)."""
@@ -229,10 +243,7 @@ class Market:
     geo: DataFrame
     payments: DataFrame
     reviews: DataFrame
-
-    def register(self, prefix: str = "v_") -> None:
-        for name in ROLE_TABLES:
-            getattr(self, name).createOrReplaceTempView(prefix + name)
+    review_scores: DataFrame    # the reviews without text and title
 
 
 def load_market(spark: SparkSession, sf_dir: str) -> Market:
@@ -248,4 +259,5 @@ def load_market(spark: SparkSession, sf_dir: str) -> Market:
         geo=geo_role(t["nation"], t["part"]),
         payments=payments_role(t["orders"]),
         reviews=reviews_role(t["orders"], t["documents"]),
+        review_scores=review_scores_role(t["orders"]),
     )

@@ -1,4 +1,4 @@
-"""Exact quantiles, k-th row and running sums on both their small and their large paths."""
+"""Exact quantiles, k-th row, running sums and rolling windows over many partitions."""
 
 import numpy as np
 import pandas as pd
@@ -9,11 +9,17 @@ from shipcast.functions.ordinal import global_running_sum, kth_key
 from shipcast.functions.quantile import quantiles
 
 
-@pytest.fixture
-def small_limit(spark):
-    spark.conf.set("shipcast.quantile.exactAggLimit", "50")
-    yield
-    spark.conf.unset("shipcast.quantile.exactAggLimit")
+@pytest.fixture(params=[3, 211])
+def partitions(spark, request):
+    """Few partitions, and more than the keys have rows to fill; none merged."""
+    names = {"spark.sql.shuffle.partitions": str(request.param),
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in old.items():
+        spark.conf.set(k, v)
 
 
 def _data(spark):
@@ -24,10 +30,7 @@ def _data(spark):
     return pdf, spark.createDataFrame(pdf)
 
 
-@pytest.mark.parametrize("narrow", [False, True])
-def test_grouped_quantiles_equal_pandas(spark, request, narrow):
-    if narrow:
-        request.getfixturevalue("small_limit")
+def test_grouped_quantiles_equal_pandas(spark, partitions):
     pdf, df = _data(spark)
     got = quantiles(df, "x", {"a": 0.1, "b": 0.5, "c": 0.99}, ["g"]).toPandas().set_index("g").sort_index()
     exp = pdf.groupby("g").x.quantile([0.1, 0.5, 0.99]).unstack()
@@ -36,10 +39,7 @@ def test_grouped_quantiles_equal_pandas(spark, request, narrow):
     assert abs(glob - pdf.x.quantile(0.37)) < 1e-12
 
 
-@pytest.mark.parametrize("narrow", [False, True])
-def test_kth_key_equals_sort(spark, request, narrow):
-    if narrow:
-        request.getfixturevalue("small_limit")
+def test_kth_key_equals_sort(spark, partitions):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"a": rng.integers(0, 20, 500), "b": rng.permutation(500)})
     pdf.loc[:200, "a"] = 7                   # a hot key holding 40 % of the rows
@@ -60,25 +60,24 @@ def test_global_running_sum(spark):
     assert out["__rank"].tolist() == list(range(1, 301))
 
 
-def test_grouped_helpers_equal_plain_windows_under_skew(spark):
+def test_rolling_equals_plain_window_under_skew(spark, partitions):
     from pyspark.sql.window import Window
-    from shipcast.functions.grouped import grouped_rolling, grouped_row_number
+    from shipcast.functions.grouped import grouped_rolling
     rng = np.random.default_rng(11)
     n = 2000
     key = np.where(rng.random(n) < 0.6, 1, rng.integers(2, 40, n))   # key 1 holds ~60 % of rows
     pdf = pd.DataFrame({"k": key, "t": rng.permutation(n), "v": rng.normal(size=n)})
     df = spark.createDataFrame(pdf)
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    try:
-        rn = grouped_row_number(df, ["k"], ["t"]).toPandas().sort_values("t")
-        exp = pdf.sort_values(["k", "t"]).assign(rn=lambda d: d.groupby("k").cumcount() + 1).sort_values("t")
-        assert rn["rn"].tolist() == exp["rn"].tolist()
-        got = grouped_rolling(df, ["k"], [F.col("t")], "v", 50,
-                              {"n": F.count, "a": F.avg}).toPandas().sort_values("t")
-        w = Window.partitionBy("k").orderBy("t").rowsBetween(-50, -1)
-        ref = df.select("t", F.count("v").over(w).alias("n"), F.avg("v").over(w).alias("a")).toPandas().sort_values("t")
-        assert got["n"].tolist() == ref["n"].tolist()
-        np.testing.assert_allclose(got["a"].fillna(0).to_numpy(), ref["a"].fillna(0).to_numpy(), rtol=1e-9, atol=1e-12)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    got = grouped_rolling(df, ["k"], [F.col("t")], "v", 50,
+                          {"n": F.count, "a": F.avg}).toPandas().sort_values("t")
+    w = Window.partitionBy("k").orderBy("t").rowsBetween(-50, -1)
+    ref = df.select("t", F.count("v").over(w).alias("n"), F.avg("v").over(w).alias("a")).toPandas().sort_values("t")
+    assert got["n"].tolist() == ref["n"].tolist()
+    np.testing.assert_allclose(got["a"].fillna(0).to_numpy(), ref["a"].fillna(0).to_numpy(), rtol=1e-9, atol=1e-12)
+
+
+def test_quantiles_of_missing_values(spark):
+    df = spark.createDataFrame([(1, None), (1, float("nan")), (2, 5.0), (None, 7.0)], "g int, x double")
+    got = {r["g"]: r["m"] for r in quantiles(df, "x", {"m": 0.5}, ["g"]).collect()}
+    assert got == {1: None, 2: 5.0, None: 7.0}
+    assert quantiles(df.where("g = 1"), "x", {"m": 0.5}).first()["m"] is None
