@@ -88,21 +88,6 @@ def sql_bucket(expr: str, edges: Sequence[float], labels: Sequence[str]) -> str:
     return "CASE " + " ".join(parts) + " END"
 
 
-def tier(c, edges: Column, labels: Sequence[str]) -> Column:
-    """Quantile tiers from an array of edges [q0..q4]: the first bin includes its lower edge,
-    the rest are (lo, hi]; collapsed (repeated) edges give the lower-labelled tier (PRJ-13)."""
-    c = _c(c)
-    out = F.when((c >= edges[0]) & (c <= edges[1]), F.lit(labels[0]))
-    for i in range(1, len(labels)):
-        out = out.when((c > edges[i]) & (c <= edges[i + 1]), F.lit(labels[i]))
-    return out
-
-
-def rnd(c, places: int = 6) -> Column:
-    """Round doubles for stable cross-engine comparison (sums differ in the last bits)."""
-    return F.round(_c(c).cast("double"), places)
-
-
 def half_even(c, places: int) -> Column:
     """Round half to even on the binary-scaled value (x * 10^places), with the same IEEE
     operations as ``half_even_sql`` so that Spark and SQL engines agree bit for bit."""

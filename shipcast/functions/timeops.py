@@ -45,8 +45,3 @@ def is_weekend(ts) -> Column:
 
 def year_month(ts) -> Column:
     return F.date_format(_c(ts), "yyyy-MM")
-
-
-def ts_text(ts) -> Column:
-    """Timestamp rendered as text for report outputs."""
-    return F.date_format(_c(ts), "yyyy-MM-dd HH:mm:ss")

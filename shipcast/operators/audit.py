@@ -174,3 +174,11 @@ def write_summary(summary: DataFrame, path: str) -> None:
     """SNK-05: write the summary as JSON (one row, one file)."""
     out = summary.withColumn("worst_categories", F.split("worst_categories", r"\|"))
     out.coalesce(1).write.mode("overwrite").json(path)
+
+
+SUMMARY_SCHEMA = ("bias_days double, within_1d_pct double, within_2d_pct double, worst_categories array<string>, "
+                  "worst_distance_band string, notes array<string>")
+
+
+def read_summary(spark, path: str) -> DataFrame:
+    return spark.read.schema(SUMMARY_SCHEMA).json(path)

@@ -87,16 +87,17 @@ def geo_lookup(geo: DataFrame) -> DataFrame:
 
 def order_items_enriched(m: Market, targets: DataFrame) -> DataFrame:
     """JN-01..JN-06 plus PRJ-06/07/08/14: one row per (delivered order, item); orders with
-    no item keep one row with NULL item columns."""
+    no item keep one row with NULL item columns. Items meet products and sellers first and
+    orders last, so orders without items never pile up on NULL product or seller keys, and
+    the roll-up to orders reuses the partitioning of the last join."""
     cust = targets.join(m.customers, "customer_id", "left").select(
         "order_id", "order_purchase_timestamp", "delivery_time_days", "processing_days",
         "transit_days", "customer_zip_code_prefix", "customer_state")
     items = m.items.select("order_id", "order_item_id", "product_id", "seller_id", "price",
                            "freight_value")
-    oi = cust.join(items, "order_id", "left")
     prods = m.products.select("product_id", "product_category_name", "product_weight_g",
                               "product_length_cm", "product_height_cm", "product_width_cm")
-    oi = oi.join(prods, "product_id", "left")
+    oi = items.join(prods, "product_id", "left")
     oi = oi.join(m.sellers.select("seller_id", "seller_zip_code_prefix", "seller_state"),
                  "seller_id", "left")
     geo = geo_lookup(m.geo)
@@ -105,8 +106,9 @@ def order_items_enriched(m: Market, targets: DataFrame) -> DataFrame:
     cg = geo.select(F.col("zip_code_prefix").alias("c_zip"), F.col("lat").alias("cust_lat"),
                     F.col("lng").alias("cust_lng"))
     oi = oi.join(sg, F.col("seller_zip_code_prefix") == F.col("s_zip"), "left")
-    oi = oi.join(cg, F.col("customer_zip_code_prefix") == F.col("c_zip"), "left")
     oi = oi.join(m.translation, "product_category_name", "left")
+    cust = cust.join(cg, F.col("customer_zip_code_prefix") == F.col("c_zip"), "left")
+    oi = cust.join(oi, "order_id", "left")
     ts = F.col("order_purchase_timestamp")
     return oi.select(
         "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value",

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import timeops as t
@@ -242,12 +243,19 @@ def score_shares_by_lateness(df_rev: DataFrame) -> DataFrame:
                                        (F.col("n_orders") / F.col("__n")).alias("share"))
 
 
+def per_flag(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A grouped side for a join on ``keys``: broadcast when all keys are booleans, which bounds
+    it to three rows per key, so the big side is not shuffled onto a few keys."""
+    flags = all(groups.schema[k].dataType == T.BooleanType() for k in keys)
+    return F.broadcast(groups) if flags else groups
+
+
 def box_stats(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
     """AG-29: quartiles and 1.5 IQR whiskers (most extreme values inside the fences)."""
     keys = list(keys)
     q = quantiles(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = df.select(*keys, col).where(F.col(col).isNotNull()).join(q, keys)
+    j = df.select(*keys, col).where(F.col(col).isNotNull()).join(per_flag(q, keys), keys)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     w = j.groupBy(*keys).agg(F.min(F.when(F.col(col) >= lo_f, F.col(col))).alias("whisker_low"),
@@ -340,7 +348,7 @@ def clip_to_own_percentiles(df: DataFrame, col: str, keys: Sequence[str], lo: fl
     """PRJ-20: clip each value to its group's exact 1st / 99th percentile (NULLs dropped)."""
     keys = list(keys)
     q = quantiles(df, col, {"__lo": lo, "__hi": hi}, keys)
-    v = df.select(*keys, "order_id", col).where(F.col(col).isNotNull()).join(q, keys)
+    v = df.select(*keys, "order_id", col).where(F.col(col).isNotNull()).join(per_flag(q, keys), keys)
     return v.select(*keys, "order_id",
                     clip_between(col, F.col("__lo"), F.col("__hi")).alias(col))
 
@@ -513,7 +521,7 @@ def histogram(df: DataFrame, col: str, bins: int, keys: Sequence[str] = (),
     rng = rng.select(*keys, "__n", F.when(same, F.col("__mn") - 0.5).otherwise(F.col("__mn")).alias("__lo"),
                      F.when(same, F.col("__mx") + 0.5).otherwise(F.col("__mx")).alias("__hi"))
     if keys:
-        j = v.join(rng, keys)
+        j = v.join(per_flag(rng, keys), keys)
     else:
         r1 = scalars(rng.select("__lo", "__hi"))
         j = v.select("__x", r1["__lo"].alias("__lo"), r1["__hi"].alias("__hi"))

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as tx
 
@@ -159,9 +160,11 @@ def comment_shares(reviews: DataFrame) -> DataFrame:
 
 def pain_points(counts: DataFrame) -> DataFrame:
     """TX-07: bad-review mention counts of the pain-point words, with translation and action,
-    most frequent first (the counts are computed, not hard-coded)."""
+    ranked by mentions (the counts are computed, not hard-coded)."""
     spark = counts.sparkSession
     lookup = spark.createDataFrame(PAIN_POINTS, "word string, translation string, action string")
     bad = counts.where(F.col("subset") == "bad").select("word", "count")
-    return lookup.join(bad, "word", "left").select(
+    out = lookup.join(bad, "word", "left").select(
         "word", "translation", F.coalesce("count", F.lit(0)).alias("frequency"), "action")
+    # one row per looked-up word
+    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("frequency"), "word")))

@@ -157,3 +157,17 @@ def days_sql(end: str, start: str) -> str:
 
 def floor_days_sql(end: str, start: str) -> str:
     return f"CAST(floor({days_sql(end, start)}) AS BIGINT)"
+
+
+def hist_sql(source: str, expr: str, bins: int, lo_clip=None, hi_clip=None) -> str:
+    """DuckDB twin of ``reports.histogram`` without groups."""
+    x = f"CAST({expr} AS DOUBLE)"
+    if lo_clip is not None:
+        x = f"greatest(least({x}, {hi_clip}), {lo_clip})"
+    return f"""WITH v AS (SELECT {x} AS x FROM {source} WHERE {expr} IS NOT NULL),
+ r AS (SELECT CASE WHEN max(x) = min(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+   CASE WHEN max(x) = min(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM v),
+ c AS (SELECT CAST(least(floor((x - lo) / (hi - lo) * {bins}), {bins - 1}) AS BIGINT) AS bin, count(*) AS cnt FROM v, r GROUP BY 1),
+ g AS (SELECT range AS bin FROM range({bins}))
+ SELECT g.bin, round(lo + g.bin * ((hi - lo) / {bins}), 6) AS bin_low, round(lo + (g.bin + 1) * ((hi - lo) / {bins}), 6) AS bin_high,
+ coalesce(c.cnt, 0) AS count FROM g CROSS JOIN r LEFT JOIN c ON g.bin = c.bin"""

@@ -12,7 +12,7 @@ VIEWS = {
  o_orderdate + INTERVAL '1' DAY * (8 + o_orderkey % 23) AS order_estimated_delivery_date
  FROM orders""",
     "v_items": """SELECT l_orderkey AS order_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) AS order_item_id,
- l_partkey AS product_id, l_suppkey * 100 + l_partkey % 20 AS seller_id, l_extendedprice AS price, round(l_quantity * (1 + l_tax), 2) AS freight_value FROM lineitem""",
+ l_partkey AS product_id, l_suppkey * 100 + l_partkey % 20 AS seller_id, l_extendedprice AS price, round(l_quantity * (1 + l_tax), 2) AS freight_value, l_shipdate AS shipping_limit_date FROM lineitem""",
     "v_products": """SELECT p_partkey AS product_id, CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_type END AS product_category_name,
  CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE CAST(p_size * 100 AS DOUBLE) END AS product_weight_g,
  CASE WHEN p_partkey % 45 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS product_length_cm, CAST(p_partkey % 30 + 1 AS DOUBLE) AS product_height_cm, CAST(p_partkey % 17 + 1 AS DOUBLE) AS product_width_cm FROM part""",

@@ -4,12 +4,16 @@ TK-02, SNK-05. The same plans audit a fitted model in ``q_model``."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import sql_bucket
 from ..operators import audit as au
-from .catalog import finalize, query, shared
+from ..operators import reports as rp
+from ..session import scratch_path
+from .catalog import finalize, hist_sql, query, shared
 from .q_split import SPLIT_CTES, model_frame
 
 
@@ -164,12 +168,21 @@ def tk_02(spark, sf_dir):
  (SELECT worst_categories FROM w) AS worst_categories, (SELECT distance_band FROM b) AS worst_distance_band,
  CAST(""" + str(len(au.SUMMARY_NOTES)) + """ AS BIGINT) AS n_notes FROM a_err""", AUDIT_CTES)
 def snk_05(spark, sf_dir):
-    """SNK-05: the error summary row (written as JSON by the pipeline)."""
-    s = au.error_summary(fixed_errors(spark, sf_dir))
-    return finalize(s.select("bias_days", "within_1d_pct", "within_2d_pct", "worst_categories",
+    """SNK-05: the error summary, written as JSON and read back."""
+    path = scratch_path(spark, f"error-summary-{os.path.basename(sf_dir.rstrip('/'))}")
+    au.write_summary(au.error_summary(fixed_errors(spark, sf_dir)), path)
+    s = au.read_summary(spark, path)
+    return finalize(s.select("bias_days", "within_1d_pct", "within_2d_pct",
+                             F.array_join("worst_categories", "|").alias("worst_categories"),
                              "worst_distance_band", F.size("notes").cast("long").alias("n_notes")))
 
 
+@query("ag_44_residual", hist_sql("a_err", "residual", 60), AUDIT_CTES)
+def ag_44_residual(spark, sf_dir):
+    """AG-44: histogram of residuals, 60 bins."""
+    return finalize(rp.histogram(fixed_errors(spark, sf_dir), "residual", 60))
+
+
 @query("ml_13", """SELECT order_id, product_category_name_english, CAST(purchase_month AS BIGINT) AS purchase_month,
  round(predicted, 6) AS predicted, round(residual, 6) AS residual, round(abs_error, 6) AS abs_error, over_predict,
  error_bucket, distance_band, seller_tier FROM a_err""", AUDIT_CTES)

@@ -127,7 +127,7 @@ def src_01(spark, sf_dir):
 
 @query("src_04", " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS n_rows, CAST({c} AS BIGINT) AS n_columns FROM v_{n}"
-    for n, c in zip(ROLE_TABLES, (8, 6, 6, 2, 3, 3, 3, 5, 6))))
+    for n, c in zip(ROLE_TABLES, (8, 7, 6, 2, 3, 3, 3, 5, 7))))
 def src_04(spark, sf_dir):
     """SRC-04: shape of every table."""
     return finalize(_profile(market(spark, sf_dir)))
@@ -145,6 +145,38 @@ def src_02(spark, sf_dir):
                              "order_estimated_delivery_date"))
 
 
+@query("src_02_items", f"SELECT order_id, CAST(order_item_id AS BIGINT) AS order_item_id, {ts_sql('shipping_limit_date')} AS shipping_limit_date FROM v_items")
+def src_02_items(spark, sf_dir):
+    """SRC-02: the items' shipping limit as a timestamp."""
+    return finalize(market(spark, sf_dir).items.select("order_id", "order_item_id", "shipping_limit_date"))
+
+
+@query("src_02_reviews", f"""SELECT review_id, {ts_sql('review_creation_date')} AS review_creation_date,
+ {ts_sql('review_answer_timestamp')} AS review_answer_timestamp FROM v_reviews""")
+def src_02_reviews(spark, sf_dir):
+    """SRC-02: the reviews' creation and answer times."""
+    return finalize(market(spark, sf_dir).review_scores.select(
+        "review_id", "review_creation_date", "review_answer_timestamp"))
+
+
+PREVIEW = {"orders": ("order_id", "order_status"), "customers": ("customer_id", "customer_state"),
+           "sellers": ("seller_id", "seller_state"), "products": ("product_id", "product_category_name")}
+
+
+@query("src_04_preview", " UNION ALL ".join(
+    f"(SELECT '{n}' AS table_name, CAST({k} AS BIGINT) AS key, {v} AS value FROM v_{n} ORDER BY {k} LIMIT 5)"
+    for n, (k, v) in PREVIEW.items()))
+def src_04_preview(spark, sf_dir):
+    """SRC-04: the first five rows, by key, of the tables that have one."""
+    m = market(spark, sf_dir)
+    frames = [getattr(m, n).select(F.lit(n).alias("table_name"), F.col(k).alias("key"), F.col(v).alias("value"))
+              .orderBy("key").limit(5) for n, (k, v) in PREVIEW.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return finalize(out)
+
+
 # --- projections and filters --------------------------------------------------------------
 @query("prj_01", """SELECT order_id, round(delivery_time_days, 6) AS delivery_time_days,
  round(processing_raw, 6) AS processing_days, round(transit_raw, 6) AS transit_days FROM t_dur""",

@@ -268,6 +268,18 @@ def snk_04(spark, sf_dir):
                        F.col("test_metrics.MAE").alias("test_MAE"), F.size("val_results").alias("n_models"))
 
 
+@query("ml_13_fitted")
+def ml_13_fitted(spark, sf_dir):
+    """ML-10 / ML-13: the audit of the fitted best model: its error summary on the test split."""
+    r = main_run(spark, sf_dir)
+    err = au.residual_frame(r["best"].transform(r["test"]))
+    path = _out(spark, sf_dir, "fitted-error-summary")
+    au.write_summary(au.error_summary(err), path)
+    s = au.read_summary(spark, path)
+    return finalize(s.withColumn("worst_categories", F.array_join("worst_categories", "|"))
+                    .withColumn("notes", F.size("notes")).withColumnRenamed("notes", "n_notes"))
+
+
 @query("src_03")
 def src_03(spark, sf_dir):
     """SRC-03: re-load model, metadata and the written test split; score the test split."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import reports as rp
 from ..functions.exprs import sql_bucket
 from ..sources.tables import ROLE_TABLES
-from .catalog import finalize, floor_days_sql, market, query, shared, ts_sql
+from .catalog import finalize, floor_days_sql, hist_sql, market, query, shared, ts_sql
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -397,14 +397,43 @@ def ag_34(spark, sf_dir):
     return finalize(rp.means_by_lateness(rp.delivered_features(market(spark, sf_dir))))
 
 
-@query("prj_20", """WITH q AS (SELECT is_late, quantile_cont(total_freight, 0.01) AS lo, quantile_cont(total_freight, 0.99) AS hi
- FROM e_feat GROUP BY is_late)
- SELECT f.is_late, f.order_id, round(greatest(least(f.total_freight, q.hi), q.lo), 6) AS total_freight
- FROM e_feat f JOIN q ON f.is_late = q.is_late WHERE f.total_freight IS NOT NULL""", EDA_CTES)
-def prj_20(spark, sf_dir):
-    """PRJ-20: freight clipped to its own group's 1st / 99th percentile (on time vs late)."""
-    d = rp.delivered_features(market(spark, sf_dir))
-    return finalize(rp.clip_to_own_percentiles(d, "total_freight", ["is_late"]))
+def _clip_sql(col: str) -> str:
+    return f"""q AS (SELECT is_late, quantile_cont({col}, 0.01) AS lo, quantile_cont({col}, 0.99) AS hi
+ FROM e_feat GROUP BY is_late),
+ v AS (SELECT f.is_late, f.order_id, greatest(least(f.{col}, q.hi), q.lo) AS x FROM e_feat f JOIN q ON f.is_late = q.is_late
+  WHERE f.{col} IS NOT NULL)"""
+
+
+# the three columns shown by lateness: query suffix -> column
+CLIPPED = {"": "total_freight", "_weight": "product_weight_g", "_processing": "processing_days"}
+
+
+def _register_clipped(suffix: str, col: str) -> None:
+    @query(f"prj_20{suffix}", f"WITH {_clip_sql(col)} SELECT is_late, order_id, round(x, 6) AS {col} FROM v", EDA_CTES)
+    def prj_20(spark, sf_dir):
+        """PRJ-20: a column clipped to its own group's 1st / 99th percentile (on time vs late)."""
+        d = rp.delivered_features(market(spark, sf_dir))
+        return finalize(rp.clip_to_own_percentiles(d, col, ["is_late"]))
+
+    @query(f"ag_44{suffix or '_freight'}", f"""WITH {_clip_sql(col)},
+ r AS (SELECT is_late, count(*) AS n, CASE WHEN max(x) = min(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+   CASE WHEN max(x) = min(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM v GROUP BY is_late),
+ c AS (SELECT v.is_late, CAST(least(floor((x - lo) / (hi - lo) * 50), 49) AS BIGINT) AS bin, count(*) AS cnt
+  FROM v JOIN r ON v.is_late = r.is_late GROUP BY 1, 2),
+ g AS (SELECT range AS bin FROM range(50))
+ SELECT r.is_late, g.bin, round(lo + g.bin * ((hi - lo) / 50), 6) AS bin_low, round(lo + (g.bin + 1) * ((hi - lo) / 50), 6) AS bin_high,
+ coalesce(c.cnt, 0) AS count, round(coalesce(c.cnt, 0) / (n * ((hi - lo) / 50)), 6) AS density
+ FROM r CROSS JOIN g LEFT JOIN c ON c.is_late = r.is_late AND c.bin = g.bin""", EDA_CTES)
+    def ag_44(spark, sf_dir):
+        """AG-44 + PRJ-20: density histograms per lateness group, values clipped to the group's
+        own 1st / 99th percentile, 50 bins."""
+        d = rp.delivered_features(market(spark, sf_dir))
+        clipped = rp.clip_to_own_percentiles(d, col, ["is_late"])
+        return finalize(rp.histogram(clipped, col, 50, keys=["is_late"], density=True))
+
+
+for _suffix, _col in CLIPPED.items():
+    _register_clipped(_suffix, _col)
 
 
 _DOW = "CASE isodow(order_purchase_timestamp) " + " ".join(
@@ -571,58 +600,25 @@ def ag_43_rank(spark, sf_dir):
     return finalize(c.select("feature", "corr", F.row_number().over(w).alias("rank")))
 
 
-def _hist_sql(source: str, expr: str, bins: int, lo_clip=None, hi_clip=None) -> str:
-    x = f"CAST({expr} AS DOUBLE)"
-    if lo_clip is not None:
-        x = f"greatest(least({x}, {hi_clip}), {lo_clip})"
-    return f"""WITH v AS (SELECT {x} AS x FROM {source} WHERE {expr} IS NOT NULL),
- r AS (SELECT CASE WHEN max(x) = min(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
-   CASE WHEN max(x) = min(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM v),
- c AS (SELECT CAST(least(floor((x - lo) / (hi - lo) * {bins}), {bins - 1}) AS BIGINT) AS bin, count(*) AS cnt FROM v, r GROUP BY 1),
- g AS (SELECT range AS bin FROM range({bins}))
- SELECT g.bin, round(lo + g.bin * ((hi - lo) / {bins}), 6) AS bin_low, round(lo + (g.bin + 1) * ((hi - lo) / {bins}), 6) AS bin_high,
- coalesce(c.cnt, 0) AS count FROM g CROSS JOIN r LEFT JOIN c ON g.bin = c.bin"""
-
-
-@query("ag_44", _hist_sql("e_del", "delay_days", 80, -30, 60), EDA_CTES)
+@query("ag_44", hist_sql("e_del", "delay_days", 80, -30, 60), EDA_CTES)
 def ag_44(spark, sf_dir):
     """AG-44: histogram of delay days clipped to [-30, 60], 80 bins."""
     d = rp.delivered_status_orders(market(spark, sf_dir).orders)
     return finalize(rp.histogram(d, "delay_days", 80, lo_clip=-30, hi_clip=60))
 
 
-@query("ag_44_payments", _hist_sql("v_payments", "payment_value", 80, 0, 1000))
+@query("ag_44_payments", hist_sql("v_payments", "payment_value", 80, 0, 1000))
 def ag_44_payments(spark, sf_dir):
     """AG-44: histogram of payment values clipped to [0, 1000], 80 bins."""
     return finalize(rp.histogram(market(spark, sf_dir).payments, "payment_value", 80, lo_clip=0, hi_clip=1000))
 
 
-@query("ag_44_sellers", _hist_sql("e_seller", "total_orders", 50, 0, 100), EDA_CTES)
+@query("ag_44_sellers", hist_sql("e_seller", "total_orders", 50, 0, 100), EDA_CTES)
 def ag_44_sellers(spark, sf_dir):
     """AG-44: histogram of orders per seller clipped to [0, 100], 50 bins."""
     return finalize(rp.histogram(sellers(spark, sf_dir), "total_orders", 50, lo_clip=0, hi_clip=100))
 
 
-@query("ag_44_freight", """WITH q AS (SELECT is_late, quantile_cont(total_freight, 0.01) AS lo, quantile_cont(total_freight, 0.99) AS hi
- FROM e_feat GROUP BY is_late),
- v AS (SELECT f.is_late, greatest(least(f.total_freight, q.hi), q.lo) AS x FROM e_feat f JOIN q ON f.is_late = q.is_late
-  WHERE f.total_freight IS NOT NULL),
- r AS (SELECT is_late, count(*) AS n, CASE WHEN max(x) = min(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
-   CASE WHEN max(x) = min(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM v GROUP BY is_late),
- c AS (SELECT v.is_late, CAST(least(floor((x - lo) / (hi - lo) * 50), 49) AS BIGINT) AS bin, count(*) AS cnt
-  FROM v JOIN r ON v.is_late = r.is_late GROUP BY 1, 2),
- g AS (SELECT range AS bin FROM range(50))
- SELECT r.is_late, g.bin, round(lo + g.bin * ((hi - lo) / 50), 6) AS bin_low, round(lo + (g.bin + 1) * ((hi - lo) / 50), 6) AS bin_high,
- coalesce(c.cnt, 0) AS count, round(coalesce(c.cnt, 0) / (n * ((hi - lo) / 50)), 6) AS density
- FROM r CROSS JOIN g LEFT JOIN c ON c.is_late = r.is_late AND c.bin = g.bin""", EDA_CTES)
-def ag_44_freight(spark, sf_dir):
-    """AG-44 + PRJ-20: density histograms of freight per lateness group, values clipped to
-    the group's own 1st / 99th percentile, 50 bins."""
-    d = rp.delivered_features(market(spark, sf_dir))
-    clipped = rp.clip_to_own_percentiles(d, "total_freight", ["is_late"])
-    return finalize(rp.histogram(clipped, "total_freight", 50, keys=["is_late"], density=True))
-
-
 @query("ag_45", f"""WITH c AS ({_CHURN_SQL})
  SELECT round((SELECT avg(CAST(is_late AS DOUBLE)) * 100 FROM e_del), 6) AS late_rate_pct,
  (SELECT count(*) FROM e_del) AS n_delivered,

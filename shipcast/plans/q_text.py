@@ -137,7 +137,8 @@ def tx_06_share(spark, sf_dir):
 
 @query("tx_07", "WITH lk AS (" + " UNION ALL ".join(
     f"SELECT '{w}' AS word, '{tr}' AS translation, '{a}' AS action" for w, tr, a in rt.PAIN_POINTS) + """)
- SELECT lk.word, lk.translation, coalesce(c.count, 0) AS frequency, lk.action FROM lk
+ SELECT lk.word, lk.translation, coalesce(c.count, 0) AS frequency, lk.action,
+ row_number() OVER (ORDER BY coalesce(c.count, 0) DESC, lk.word) AS rank FROM lk
  LEFT JOIN x_counts c ON c.subset = 'bad' AND c.word = lk.word""", TEXT_CTES)
 def tx_07(spark, sf_dir):
     """TX-07: pain-point words with computed mention counts, translation and action."""

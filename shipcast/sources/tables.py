@@ -118,6 +118,7 @@ def items_role(lineitem: DataFrame) -> DataFrame:
         (F.col("l_suppkey") * 100 + F.col("l_partkey") % 20).alias("seller_id"),
         F.col("l_extendedprice").alias("price"),
         F.round(F.col("l_quantity") * (1 + F.col("l_tax")), 2).alias("freight_value"),
+        _ts(F.col("l_shipdate")).alias("shipping_limit_date"),
     )
 
 
