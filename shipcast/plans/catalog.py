@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,23 +104,23 @@ def market(spark: SparkSession, sf_dir: str) -> Market:
 _PERSISTED: dict[tuple, DataFrame] = {}
 
 
-def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
-           checkpoint: bool = True) -> DataFrame:
-    """Build once per (session, dataset). Deep, narrow stages (features, splits) are
-    checkpointed into the shared checkpoint folder: that cuts the lineage (later plans and
-    their scalar subqueries stay small) and survives the loss of an executor. Wide,
-    shallow frames (review texts) are persisted instead; a lost block is recomputed from
-    its short lineage."""
+def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Build once per (application, dataset) and checkpoint into the shared checkpoint folder:
+    that cuts the lineage (later plans and their scalar subqueries stay small) and survives
+    the loss of an executor."""
     app = spark.sparkContext.applicationId
     for old in [k for k in _PERSISTED if k[0] != app]:    # frames of ended applications
         del _PERSISTED[old]
     key = (app, sf_dir.rstrip("/"), name)
-    df = _PERSISTED.get(key)
-    if df is None:
-        df = build()
-        df = df.checkpoint(eager=True) if checkpoint else df.persist(StorageLevel.MEMORY_AND_DISK)
-        _PERSISTED[key] = df
-    return df
+    if key not in _PERSISTED:
+        _PERSISTED[key] = build().checkpoint(eager=True)
+    return _PERSISTED[key]
+
+
+def forget() -> None:
+    """Drop every frame and run kept between queries (the bench times each query alone)."""
+    _PERSISTED.clear()
+    _market.cache_clear()
 
 
 def finalize(df: DataFrame, places: int = 6) -> DataFrame:

@@ -6,22 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.balance import spread
 from ..operators import reports as rp
 from ..operators import review_text as rt
-from ..sources.tables import scan_partitions
 from .catalog import finalize, market, query, shared
 from .q_reports import EDA_CTES
 
 
 def sentiment_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def build():
-        rwo = rp.reviews_with_orders(market(spark, sf_dir), texts=True).select(
-            "review_id", "review_score", "review_comment_message", "order_delivered_customer_date")
-        # tokenising is the CPU-heavy step: give it every task slot
-        commented = spread(rt.commented_by_sentiment(rwo), scan_partitions(spark, sf_dir, "orders"))
-        return rt.review_tokens(commented)
-    return shared(spark, sf_dir, "sentiment_tokens", build, checkpoint=False)
+    rwo = rp.reviews_with_orders(market(spark, sf_dir), texts=True).select(
+        "review_id", "review_score", "review_comment_message", "order_delivered_customer_date")
+    return rt.review_tokens(rt.commented_by_sentiment(rwo))
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,12 +74,12 @@ def _context_sql(word: str) -> str:
 @query("tx_04", " UNION ALL ".join(_context_sql(w) for w in rt.CONTEXT_TARGETS), TEXT_CTES)
 def tx_04(spark, sf_dir):
     """TX-04: context words around 'recebi', 'veio' and 'prazo' in bad reviews. The texts
-    are tokenised and counted once for all targets; the persisted counts feed the per-target
+    are tokenised and counted once for all targets; the checkpointed counts feed the per-target
     top-k (so the target filter is not pushed back into the text scan three times)."""
     def build():
         bad = sentiment_tokens(spark, sf_dir).where(F.col("subset") == "bad")
         return rt.context_counts(bad)
-    return finalize(rt.top_context(shared(spark, sf_dir, "context_counts", build, checkpoint=False)))
+    return finalize(rt.top_context(shared(spark, sf_dir, "context_counts", build)))
 
 
 def _phrase_sql() -> str:
