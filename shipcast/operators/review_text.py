@@ -113,7 +113,8 @@ def top_context(counts: DataFrame, targets: Sequence[str] = CONTEXT_TARGETS,
 
 
 def phrase_counts(bad: DataFrame, counts: DataFrame,
-                  patterns: Mapping[str, Mapping[str, str]] = PHRASE_PATTERNS) -> DataFrame:
+                  patterns: Mapping[str, Mapping[str, str]] = PHRASE_PATTERNS,
+                  denominators: Mapping[str, str] = PHRASE_DENOMINATOR) -> DataFrame:
     """TX-05: number of bad reviews matching each phrase pattern (lower-cased text, one pass
     for all patterns), with the share of the group's word mentions where one is defined."""
     items = [(g, n, p) for g, d in patterns.items() for n, p in d.items()]
@@ -121,9 +122,9 @@ def phrase_counts(bad: DataFrame, counts: DataFrame,
     row = low.agg(*[F.count_if(F.col("m").rlike(p)).alias(f"p{i}") for i, (_, _, p) in enumerate(items)])
     body = ", ".join(f"'{g}', '{n}', '{p}', p{i}" for i, (g, n, p) in enumerate(items))
     long = row.selectExpr(f"stack({len(items)}, {body}) AS (pattern_group, name, pattern, n_reviews)")
-    denom = (counts.where((F.col("subset") == "bad") & F.col("word").isin(*PHRASE_DENOMINATOR.values()))
+    denom = (counts.where((F.col("subset") == "bad") & F.col("word").isin(*denominators.values()))
              .select("word", "count"))
-    groups = F.create_map(*[x for g, w in PHRASE_DENOMINATOR.items() for x in (F.lit(g), F.lit(w))])
+    groups = F.create_map(*[x for g, w in denominators.items() for x in (F.lit(g), F.lit(w))])
     long = long.withColumn("denominator_word", groups[F.col("pattern_group")])
     out = long.join(denom, long["denominator_word"] == denom["word"], "left")
     return out.select("pattern_group", "name", "pattern", "n_reviews", "denominator_word",
@@ -158,11 +159,11 @@ def comment_shares(reviews: DataFrame) -> DataFrame:
         .alias("five_star_comment_share"))
 
 
-def pain_points(counts: DataFrame) -> DataFrame:
+def pain_points(counts: DataFrame, points: Sequence[tuple[str, str, str]] = PAIN_POINTS) -> DataFrame:
     """TX-07: bad-review mention counts of the pain-point words, with translation and action,
     ranked by mentions (the counts are computed, not hard-coded)."""
     spark = counts.sparkSession
-    lookup = spark.createDataFrame(PAIN_POINTS, "word string, translation string, action string")
+    lookup = spark.createDataFrame(points, "word string, translation string, action string")
     bad = counts.where(F.col("subset") == "bad").select("word", "count")
     out = lookup.join(bad, "word", "left").select(
         "word", "translation", F.coalesce("count", F.lit(0)).alias("frequency"), "action")

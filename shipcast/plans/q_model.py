@@ -216,6 +216,25 @@ def prj_18(spark, sf_dir):
                              (F.size("violations") == 0).alias("is_valid")))
 
 
+# Requests spoilt by order id: a negative price, a month and an hour out of range, no distance.
+SPOILT = {"price": ("order_id % 3 = 0", "-1.0"), "purchase_month": ("order_id % 5 = 0", "13"),
+          "purchase_hour": ("order_id % 11 = 0", "24"), "distance_km": ("order_id % 7 = 0", "NULL")}
+
+
+@query("prj_18_spoilt", f"""WITH s AS (SELECT * REPLACE ({", ".join(
+    f"CASE WHEN {cond} THEN {v} ELSE {c} END AS {c}" for c, (cond, v) in SPOILT.items())}) FROM t_model WHERE split = 'test')
+ SELECT order_id, CAST({_violation_count_sql()} AS BIGINT) AS n_violations, ({_violation_count_sql()}) = 0 AS is_valid FROM s""",
+       SPLIT_CTES)
+def prj_18_spoilt(spark, sf_dir):
+    """PRJ-18 over requests that break the rules."""
+    mf = model_frame(spark, sf_dir).where(F.col("split") == "test").select("order_id", *sc.REQUEST_FIELDS)
+    mf = mf.withColumns({c: F.when(F.expr(cond), F.expr(v).cast(mf.schema[c].dataType)).otherwise(F.col(c))
+                         for c, (cond, v) in SPOILT.items()})
+    v = sc.validate(mf)
+    return finalize(v.select("order_id", F.size("violations").cast("long").alias("n_violations"),
+                             (F.size("violations") == 0).alias("is_valid")))
+
+
 # --- sinks and sources ----------------------------------------------------------------------------
 def _out(spark, sf_dir, name: str) -> str:
     tag = os.path.basename(sf_dir.rstrip("/"))

@@ -65,7 +65,7 @@ _ROLE_COLUMNS = {
     "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
                "order_delivered_carrier_date", "order_delivered_customer_date",
                "order_estimated_delivery_date"],
-    "items": ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"],
+    "items": ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value", "shipping_limit_date"],
     "products": ["product_id", "product_category_name", "product_weight_g", "product_length_cm",
                  "product_height_cm", "product_width_cm"],
     "translation": ["product_category_name", "product_category_name_english"],
@@ -74,7 +74,7 @@ _ROLE_COLUMNS = {
     "geo": ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"],
     "payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
     "reviews": ["review_id", "order_id", "review_score", "review_comment_message", "review_comment_title",
-                "review_answer_timestamp"],
+                "review_answer_timestamp", "review_creation_date"],
 }
 
 
@@ -135,9 +135,9 @@ def ag_17(spark, sf_dir):
     return finalize(rp.orders_without_items(market(spark, sf_dir)))
 
 
-@query("ag_18", """SELECT i.order_id, CAST(i.order_item_id AS BIGINT) AS order_item_id, i.product_id, i.seller_id,
- round(i.price, 6) AS price, round(i.freight_value, 6) AS freight_value, count(*) AS n_rows
- FROM v_items i ANTI JOIN v_orders o ON i.order_id = o.order_id GROUP BY ALL""")
+@query("ag_18", f"""SELECT i.order_id, CAST(i.order_item_id AS BIGINT) AS order_item_id, i.product_id, i.seller_id,
+ round(i.price, 6) AS price, round(i.freight_value, 6) AS freight_value, {ts_sql('i.shipping_limit_date')} AS shipping_limit_date,
+ count(*) AS n_rows FROM v_items i ANTI JOIN v_orders o ON i.order_id = o.order_id GROUP BY ALL""")
 def ag_18(spark, sf_dir):
     return finalize(rp.items_without_orders(market(spark, sf_dir)))
 

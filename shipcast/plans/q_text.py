@@ -71,6 +71,15 @@ def _context_sql(word: str) -> str:
  WHERE {pos} IS NOT NULL) GROUP BY context_word ORDER BY count DESC, context_word LIMIT {rt.TOP_CONTEXT})"""
 
 
+# The driver's texts are invented prose in four languages, so the Portuguese words above hardly
+# occur in them. These frequent words run the same operators on rows that are not empty.
+FOUND_TARGETS = ["the", "que", "der"]
+FOUND_PATTERNS = {"article": {"of the": "of the|in the", "de la": "de la"}, "link": {"und": "und|and"}}
+FOUND_DENOMINATOR = {"article": "the", "link": "and"}
+FOUND_KEYWORDS = ["tion", "the", "zu"]
+FOUND_POINTS = [("the", "article", "none"), ("and", "and", "none"), ("absent", "absent", "none")]
+
+
 @query("tx_04", " UNION ALL ".join(_context_sql(w) for w in rt.CONTEXT_TARGETS), TEXT_CTES)
 def tx_04(spark, sf_dir):
     """TX-04: context words around 'recebi', 'veio' and 'prazo' in bad reviews. The texts
@@ -82,11 +91,20 @@ def tx_04(spark, sf_dir):
     return finalize(rt.top_context(shared(spark, sf_dir, "context_counts", build)))
 
 
-def _phrase_sql() -> str:
+@query("tx_04_found", " UNION ALL ".join(_context_sql(w) for w in FOUND_TARGETS), TEXT_CTES)
+def tx_04_found(spark, sf_dir):
+    """TX-04 around words that occur in the driver's texts."""
+    def build():
+        bad = sentiment_tokens(spark, sf_dir).where(F.col("subset") == "bad")
+        return rt.context_counts(bad, FOUND_TARGETS)
+    return finalize(rt.top_context(shared(spark, sf_dir, "context_counts_found", build), FOUND_TARGETS))
+
+
+def _phrase_sql(patterns=rt.PHRASE_PATTERNS, denominators=rt.PHRASE_DENOMINATOR) -> str:
     rows = []
-    for g, d in rt.PHRASE_PATTERNS.items():
+    for g, d in patterns.items():
         for n, p in d.items():
-            w = rt.PHRASE_DENOMINATOR.get(g)
+            w = denominators.get(g)
             wsql = f"'{w}'" if w else "CAST(NULL AS VARCHAR)"
             rows.append(f"""SELECT '{g}' AS pattern_group, '{n}' AS name, '{p}' AS pattern,
  (SELECT count(*) FROM x_sent WHERE subset = 'bad' AND regexp_matches(lower(review_comment_message), '{p}')) AS n_reviews,
@@ -103,9 +121,16 @@ def tx_05(spark, sf_dir):
     return finalize(rt.phrase_counts(bad, counts(spark, sf_dir)))
 
 
-def _keyword_sql() -> str:
+@query("tx_05_found", _phrase_sql(FOUND_PATTERNS, FOUND_DENOMINATOR), TEXT_CTES)
+def tx_05_found(spark, sf_dir):
+    """TX-05 with patterns that occur in the driver's texts."""
+    bad = sentiment_tokens(spark, sf_dir).where(F.col("subset") == "bad")
+    return finalize(rt.phrase_counts(bad, counts(spark, sf_dir), FOUND_PATTERNS, FOUND_DENOMINATOR))
+
+
+def _keyword_sql(keywords=rt.DELIVERY_KEYWORDS) -> str:
     parts = []
-    for kw in dict.fromkeys(rt.DELIVERY_KEYWORDS):
+    for kw in dict.fromkeys(keywords):
         hit = f"CAST(contains(lower(review_comment_message), '{kw}') AS DOUBLE)"
         parts.append(f"""SELECT '{kw}' AS keyword,
  round(avg(CASE WHEN review_score = 1 THEN {hit} END) * 100, 6) AS one_star_hit_pct,
@@ -120,6 +145,12 @@ def tx_06(spark, sf_dir):
     return finalize(rt.keyword_hit_rates(market(spark, sf_dir).reviews))
 
 
+@query("tx_06_found", _keyword_sql(FOUND_KEYWORDS))
+def tx_06_found(spark, sf_dir):
+    """TX-06 with keywords that occur in the driver's texts."""
+    return finalize(rt.keyword_hit_rates(market(spark, sf_dir).reviews, FOUND_KEYWORDS))
+
+
 @query("tx_06_share", """SELECT round(count(*) FILTER (WHERE review_score = 1 AND review_comment_message IS NOT NULL)
  / count(*) FILTER (WHERE review_score = 1), 6) AS one_star_comment_share,
  round(count(*) FILTER (WHERE review_score = 5 AND review_comment_message IS NOT NULL)
@@ -129,11 +160,21 @@ def tx_06_share(spark, sf_dir):
     return finalize(rt.comment_shares(market(spark, sf_dir).reviews))
 
 
-@query("tx_07", "WITH lk AS (" + " UNION ALL ".join(
-    f"SELECT '{w}' AS word, '{tr}' AS translation, '{a}' AS action" for w, tr, a in rt.PAIN_POINTS) + """)
+def _points_sql(points=rt.PAIN_POINTS) -> str:
+    return "WITH lk AS (" + " UNION ALL ".join(
+        f"SELECT '{w}' AS word, '{tr}' AS translation, '{a}' AS action" for w, tr, a in points) + """)
  SELECT lk.word, lk.translation, coalesce(c.count, 0) AS frequency, lk.action,
  row_number() OVER (ORDER BY coalesce(c.count, 0) DESC, lk.word) AS rank FROM lk
- LEFT JOIN x_counts c ON c.subset = 'bad' AND c.word = lk.word""", TEXT_CTES)
+ LEFT JOIN x_counts c ON c.subset = 'bad' AND c.word = lk.word"""
+
+
+@query("tx_07_found", _points_sql(FOUND_POINTS), TEXT_CTES)
+def tx_07_found(spark, sf_dir):
+    """TX-07 with words that occur in the driver's texts."""
+    return finalize(rt.pain_points(counts(spark, sf_dir), FOUND_POINTS))
+
+
+@query("tx_07", _points_sql(), TEXT_CTES)
 def tx_07(spark, sf_dir):
     """TX-07: pain-point words with computed mention counts, translation and action."""
     return finalize(rt.pain_points(counts(spark, sf_dir)))
