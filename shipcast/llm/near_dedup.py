@@ -10,11 +10,12 @@ No bucket is expanded into its pairs and none is capped:
 1. every member of a bucket is verified against the bucket's hub, the member that shares most
    buckets with others (a star, as many pairs as members);
 2. the links found are contracted to components, and buckets inside one component are done;
-3. in the others, two members of different components can only be linked if the shingles they
-   may share allow it: |x and y| <= min(|x and hub|, |y and hub|) + min(s_x, s_y), where s counts
-   the member's shingles outside the hub that any other member of an open bucket holds. Only
-   pairs that pass this bound, a condition of the join, come out of it and are verified.
-So every pair of a bucket is linked, verified apart, bounded apart or already together."""
+3. in the others, members of different components are compared in blocks: under every hub,
+   those outside its largest component with each other and with that component. A task
+   holds the sets of two blocks and answers with links only, so no pairs travel.
+So every pair of a bucket is linked, verified apart, bounded apart or already together. The
+cost beyond linear is step 3: members times blocks of one hub, for groups of similar texts that
+the limit of 0.85 splits into many components."""
 
 from __future__ import annotations
 
@@ -36,6 +37,8 @@ SLOTS = BANDS * ROWS
 # Elements that hold a permutation at a time; words whose hashes are remembered.
 CHUNK = 40_000
 MEMO_WORDS = 300_000
+# Sets and shingles of a block; columns of the 0/1 matrix that a task holds at a time.
+BLOCK_NODES, BLOCK_SHINGLES, COLUMNS = 128, 60_000, 8192
 # Ids (8 bytes each) that may be broadcast to pick the rows whose sets are verified.
 MAX_IDS = 1_000_000
 
@@ -197,6 +200,84 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                        F.size(F.array_intersect("a", "b")).alias("inter"))
 
 
+def _compare(p: pd.DataFrame) -> pd.DataFrame:
+    """The links between different components among the sets of one task, all compared exactly;
+    of links that join the same components one is enough."""
+    sets = [np.asarray(x) for x in p["shingles"]]
+    sizes = np.array([len(x) for x in sets])
+    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    twice = times > 1
+    column = np.cumsum(twice) - 1
+    held = twice[place]
+    owner, column = owner[held], column[place[held]]
+    inter = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(twice.sum()), COLUMNS):
+        mine = (column >= at) & (column < at + COLUMNS)
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[owner[mine], column[mine] - at] = 1
+        inter += has @ has.T
+    either = sizes[:, None] + sizes[None, :] - inter
+    pairs = np.argwhere(np.triu(inter * LINK_DEN >= either * LINK_NUM, 1))
+    fps, roots = [bytes(x) for x in p["fp"]], [bytes(x) for x in p["root"]]
+    parent: dict[bytes, bytes] = {}
+
+    def top(x: bytes) -> bytes:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in pairs.tolist():
+        a, b = top(roots[i]), top(roots[j])
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((fps[i], fps[j]))
+    return pd.DataFrame(out, columns=["u", "v"])
+
+
+def block_links(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) between different components of ``nodes`` (hub, fp, n, root), as many as join
+    them, among all pairs of nodes under one hub.
+
+    A node at most 85 % of whose shingles another node holds has no link and goes. Under each
+    hub, nodes outside its largest component are compared with each other and with that
+    component, block by block: a node travels once for every block it meets, and a task
+    holds the sets of two blocks, compares them in memory and answers with links only."""
+    single = (sets.join(nodes.select("fp").distinct(), "fp", "left_semi")
+              .select("fp", F.explode("shingles").alias("shingle"))
+              .groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("fp").alias("fp")).where("c = 1")
+              .groupBy("fp").agg(F.count(F.lit(1)).alias("single")))
+    alive = nodes.join(single, "fp", "left").where(
+        (F.col("n") - F.coalesce("single", F.lit(0))) * LINK_DEN >= F.col("n") * LINK_NUM).drop("single")
+    alive = checkpointed(alive)
+    largest = (alive.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("c"))
+               .groupBy("hub").agg(F.max(F.struct("c", "root")).alias("top"))
+               .select("hub", F.col("top.root").alias("main")))
+    alive = alive.join(largest, "hub").withColumn("rest", F.col("root") != F.col("main"))
+
+    def blocks(flag: Column) -> Column:
+        n = F.sum(F.when(flag, F.col("n")).otherwise(0))
+        return F.ceil(F.greatest(F.count_if(flag) / BLOCK_NODES, n / BLOCK_SHINGLES)).cast("int")
+
+    sizes = alive.groupBy("hub").agg(blocks(F.col("rest")).alias("rests"), blocks(~F.col("rest")).alias("mains"))
+    alive = alive.join(sizes.where("rests > 0"), "hub")
+    mine = F.pmod(F.xxhash64("fp"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("mains"))).cast("int")
+
+    def meet(count: str, task) -> Column:
+        none = F.expr("cast(array() as array<struct<kind:int,i:int,j:int>>)")
+        return F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.col(count) - 1), lambda other: F.struct(
+            *[x.cast("int").alias(n) for n, x in zip(("kind", "i", "j"), task(other))]))).otherwise(none)
+
+    tasks = F.when(F.col("rest"), F.concat(
+        meet("rests", lambda o: (F.lit(0), F.least(F.col("mine"), o), F.greatest(F.col("mine"), o))),
+        meet("mains", lambda o: (F.lit(1), F.col("mine"), o)))).otherwise(
+        meet("rests", lambda o: (F.lit(1), o, F.col("mine"))))
+    sent = alive.withColumn("mine", mine).select("hub", "fp", "root", F.explode(tasks).alias("task"))
+    sent = sent.select("hub", "fp", "root", "task.*").join(sets, "fp")
+    return sent.groupBy("hub", "kind", "i", "j").applyInPandas(_compare, "u binary, v binary")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns ignored): doc_id, text_key (a
     64-bit hash of the text), n_shingles and component_id, the smallest doc_id among the rows
@@ -240,25 +321,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
               .withColumn("root", F.coalesce("root", "fp")))
     open_ = (placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
              .where("a <> b").select("key"))
-    placed = checkpointed(placed.join(open_, "key"))
-    # shingles that only one member of open buckets holds cannot be shared
-    single = (sets.join(placed.select("fp").distinct(), "fp", "left_semi")
-              .select("fp", F.explode("shingles").alias("shingle"))
-              .groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("fp").alias("fp")).where("c = 1")
-              .groupBy("fp").agg(F.count(F.lit(1)).cast("int").alias("single")))
-    known_inter = stars.select(F.col("u").alias("fp"), F.col("v").alias("hub"), "inter")
-    side = (placed.where("fp <> hub").join(known_inter, ["fp", "hub"]).join(single, "fp", "left")
-            .select("key", "fp", "n", "root", F.col("inter").alias("a"),
-                    (F.col("n") - F.coalesce("single", F.lit(0)) - F.col("inter")).alias("s")))
-    side = checkpointed(side)
-    x, y = side.alias("x"), side.alias("y")
-    most = F.least("x.a", "y.a") + F.least("x.s", "y.s")
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp"))
-                   & (F.col("x.root") != F.col("y.root"))
-                   & linked(F.least(most, F.col("x.n"), F.col("y.n")), F.col("x.n"), F.col("y.n")))
-            .select(F.col("x.fp").alias("u"), F.col("y.fp").alias("v")).distinct())
-    more = verify(checkpointed(rest), sets)
-    more = more.where(linked(F.col("inter"), F.col("n_u"), F.col("n_v"))).select("u", "v")
+    placed = checkpointed(placed.join(open_, "key").select("hub", "fp", "n", "root").distinct())
+    more = checkpointed(block_links(placed, sets))
     roots = components(links.unionByName(more))
 
     named = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
