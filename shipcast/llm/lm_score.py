@@ -11,7 +11,7 @@ gradient steps from the common weights, and the changes are averaged by tokens;
 driver is one set of weights, whatever the input. Scoring runs in numpy over slices of
 documents, gathering only the weight rows that the features hit.
 
-Counts: the HEAD most frequent words travel to the tasks; a document's other words are
+Counts: the most frequent words, at most HEAD, travel to the tasks; a document's other words are
 joined with the full count table, so every word is looked up exactly."""
 
 from __future__ import annotations
@@ -234,10 +234,29 @@ def train(texts: DataFrame, lexicon_sent, weights: Weights, trainers: int, round
     return weights
 
 
+def head_words(counts: DataFrame, size: int) -> list[tuple[bytes, int]]:
+    """The most frequent words with their counts, at most ``size``, most frequent first.
+
+    Words are counted by level (a 64th of a power of two of their count, at most a few thousand
+    levels), whole levels are taken from the top while they fit, and only their words are
+    fetched: no task sends words that the driver then drops."""
+    level = F.floor(F.log2("c") * 64)
+    taken, low = 0, None
+    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        taken += r["count"]
+        if taken > size:
+            break
+        low = r["level"]
+    if low is None:
+        return []
+    rows = counts.where(level >= low).collect()
+    return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 def lexicon_of(counts: DataFrame, head_size: int) -> Lexicon:
     """The head (at most ``head_size`` words) and the bucket totals (BUCKETS rows) of all counts."""
-    top = counts.orderBy(F.desc("c"), "word").limit(head_size).toPandas()
-    words = [bytes(w) for w in top["word"]]
+    top = head_words(counts, head_size)
+    words = [w for w, _ in top]
     own = {w: i for i, w in enumerate(words[:OWN])}
     named = F.create_map(*[x for w, i in own.items() for x in (F.lit(w), F.lit(i))]) if own else None
     hashed = F.crc32("word") % (BUCKETS - OWN) + OWN
@@ -248,7 +267,7 @@ def lexicon_of(counts: DataFrame, head_size: int) -> Lexicon:
         tokens_[r["bucket"]], words_[r["bucket"]] = r["c"], r["n"]
     # one more entry, for the place -1
     return Lexicon({w: i for i, w in enumerate(words)},
-                   np.append(np.log10(top["c"].to_numpy(dtype=float) + 1), 0.0),
+                   np.append(np.log10(np.array([c for _, c in top], float) + 1), 0.0),
                    np.array([bucket_of(own, w) for w in words] + [0]),
                    np.array([zlib.crc32(w) for w in words] + [0], np.uint32), own, tokens_, words_)
 

@@ -34,7 +34,7 @@ def base(rows):
                sum(math.log10((train[w] + 1) / (n + v + 1)) for w in words))
 
 
-@pytest.mark.parametrize("head", [3, 1000])
+@pytest.mark.parametrize("head", [0, 3, 1000])
 def test_lm_base_equals_brute_force(spark, head):
     rows = [(i, " ".join(f"W{(i * j) % 37} é{j % 5}" for j in range(i % 50))) for i in range(200)]
     rows += [(200, None), (201, ""), (None, "w1 unseen"), (5, "repeated id"), (5, "repeated id"), (202, "x " * 70_000)]
@@ -47,6 +47,15 @@ def test_lm_base_equals_brute_force(spark, head):
     assert all(r.score < 0 for r in got)
 
 
+def test_head_takes_whole_levels_from_the_top(spark):
+    counts = spark.createDataFrame([(bytearray(b"a"), 900), (bytearray(b"b"), 40), (bytearray(b"c"), 40),
+                                    *[(bytearray(f"r{i}".encode()), 1) for i in range(50)]], "word binary, c long")
+    assert L.head_words(counts, 1000)[:3] == [(b"a", 900), (b"b", 40), (b"c", 40)]
+    assert len(L.head_words(counts, 1000)) == 53
+    assert L.head_words(counts, 20) == [(b"a", 900), (b"b", 40), (b"c", 40)]
+    assert L.head_words(counts, 2) == [(b"a", 900)] and L.head_words(counts, 0) == []
+
+
 def test_lm_without_training_rows(spark):
     out = L.score_documents(frame(spark, [(None, "a b"), (None, None)])).collect()
     assert [r.train_tokens for r in out] == [0, 0] and all(r.base_score == 0 and r.n_known == 0 for r in out)
