@@ -13,6 +13,7 @@ is emptied when it is full. Tasks share nothing, so a lost one is simply run aga
 from __future__ import annotations
 
 import base64
+import ctypes
 from collections.abc import Iterator
 
 import duckdb
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 from .common import documents, whole_text
 
 # Texts of one slice, in characters; pieces of one recursive query; pieces the memo holds.
-SLICE_CHARS = 8_000_000
-QUERY_PIECES = 40_000
-MEMO_PIECES = 400_000
+SLICE_CHARS = 3_000_000
+QUERY_PIECES = 15_000
+MEMO_PIECES = 300_000
 # Pieces longer than this are contracted table by table (see _long).
 LONG_BYTES = 512
 SCHEMA = "doc_id long, ids array<int>, decoded binary"
@@ -217,6 +218,15 @@ def codec(rank_file: bytes, pattern: str) -> Codec:
     return _CODECS[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its task and may idle through the
+    stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc
+    if trim:
+        trim(0)
+
+
 def _slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     start = size = 0
     for i, t in enumerate(texts):
@@ -246,6 +256,9 @@ def encode_decode(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id")[lo:hi], lists, pa.array(out, pa.binary())],
                                                  ["doc_id", "ids", "decoded"])
+                del ids, out, lists
+            del texts
+        give_back()
 
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, SCHEMA)
 
