@@ -7,8 +7,9 @@ rows, each with the token to its right; a recursive query joins the adjacent pai
 merge table and contracts every piece's leftmost pair of minimum rank, until no pair is
 left. An ordered aggregation over the vocabulary joined to the ids decodes them.
 
-Memory is bounded: texts are worked off in slices, pieces in batches, and the memo of pieces
-is emptied when it is full. Tasks share nothing, so a lost one is simply run again."""
+Memory is bounded: texts are worked off in slices, pieces in batches of bounded rows, and the
+memo of pieces is emptied when it is full. A piece too long for a query is contracted in
+arrays of its length. Tasks share nothing, so a lost one is simply run again."""
 
 from __future__ import annotations
 
@@ -25,12 +26,18 @@ from pyspark.sql import functions as F
 
 from .common import documents, whole_text
 
-# Texts of one slice, in characters; pieces of one recursive query; pieces the memo holds.
+# Texts of one slice, in characters; pieces of one recursive query; pieces and bytes the memo holds.
 SLICE_CHARS = 3_000_000
 QUERY_PIECES = 15_000
 MEMO_PIECES = 300_000
+MEMO_BYTES = 30_000_000
 # Pieces longer than this are contracted table by table (see _long).
 LONG_BYTES = 512
+# The recursion keeps every round, at most bytes^2 / 2 rows a piece: squared bytes of one query. Tables of
+# long pieces keep a row a byte: bytes of one query; a piece beyond that is contracted in arrays (see _giant).
+QUERY_SQUARES = 5_000_000
+QUERY_BYTES = 500_000
+NO_MERGE = np.iinfo(np.int32).max
 SCHEMA = "doc_id long, ids array<int>, decoded binary"
 
 _TOKENS = """
@@ -75,6 +82,18 @@ FROM (SELECT s.wid, coalesce(y.pos, s.pos) AS pos, s.npos, coalesce(y.m, s.l) AS
 LEFT JOIN merges g ON g.l = u.l AND g.r = u.r"""
 
 
+def batches(costs: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of at most QUERY_PIECES pieces whose costs add up to at most ``most``, or of one."""
+    start = total = 0
+    for i, cost in enumerate(costs):
+        if i > start and (total + cost > most or i - start == QUERY_PIECES):
+            yield start, i
+            start, total = i, 0
+        total += cost
+    if start < len(costs):
+        yield start, len(costs)
+
+
 class Codec:
     """One vocabulary in one process: ranks (token bytes -> id), the pattern, and the tables."""
 
@@ -83,16 +102,20 @@ class Codec:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.pattern = regex.compile(pattern)
         self.of_byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
+        self.token = {rank: t for t, rank in self.ranks.items()}
         merges = [(self.ranks[t[:i]], self.ranks[t[i:]], rank) for t, rank in self.ranks.items()
                   for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         # no temporary folder: what does not fit in memory fails instead of filling a disk
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self._table("merges", dict(zip("lrm", np.array(merges, np.int32).T)))
+        l, r, m = np.array(sorted(merges), np.int64).T
+        self.pair, self.merged = l << 32 | r, m.astype(np.int32)
         self._table("vocabulary", {"id": np.array(list(self.ranks.values()), np.int32),
                                    "hex": [t.hex() for t in self.ranks]})
         # what each known piece encodes to (32-bit ids, packed) and what those ids decode to
         self.ids_of: dict[str, bytes] = {}
         self.text_of: dict[str, bytes] = {}
+        self.held = 0       # bytes of the memo's pieces
 
     def _table(self, name: str, columns: dict) -> None:
         self.db.register("incoming", pa.table(columns))
@@ -125,20 +148,55 @@ class Codec:
         self._rows("start", pieces)
         return self.db.sql(_SHORT).to_arrow_table()
 
+    def _ranks(self, l: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """The merged token of every pair (l, r); NO_MERGE where there is none."""
+        out = np.full(len(l), NO_MERGE, np.int32)
+        for at in range(0, len(l), QUERY_BYTES):
+            pair = l[at:at + QUERY_BYTES].astype(np.int64) << 32 | r[at:at + QUERY_BYTES]
+            place = np.minimum(self.pair.searchsorted(pair), len(self.pair) - 1)
+            out[at:at + QUERY_BYTES] = np.where(self.pair[place] == pair, self.merged[place], NO_MERGE)
+        return out
+
+    def _giant(self, piece: bytes) -> np.ndarray:
+        """The ids of one piece by the rounds of _long, in arrays that shrink with its tokens."""
+        l = self.of_byte[np.frombuffer(piece, np.uint8)]
+        m = self._ranks(l[:-1], l[1:])       # of every token and the one to its right
+        while len(m) and (low := m.min()) != NO_MERGE:
+            hits = np.flatnonzero(m == low)
+            run = np.flatnonzero(np.diff(hits, prepend=-2) > 1)       # where runs of overlapping pairs start
+            hits = hits[(np.arange(len(hits)) - np.repeat(run, np.diff(run, append=len(hits)))) % 2 == 0]
+            l[hits] = low
+            keep = np.ones(len(l), bool)
+            keep[hits + 1] = False
+            place = hits - np.arange(len(hits))       # where the merged tokens stand now
+            l, m = l[keep], m[keep[1:]]
+            # a dropped token's pair with its right goes, the merged token takes that place
+            fresh = np.unique(np.concatenate([place, place - 1]))
+            fresh = fresh[(fresh >= 0) & (fresh < len(l) - 1)]
+            m[fresh] = self._ranks(l[fresh], l[fresh + 1])
+        return l
+
     def learn(self, pieces: set[str]) -> None:
         """Encode and decode the pieces that the memo does not hold."""
         new = [p for p in pieces if p not in self.ids_of]
         raw = [p.encode("utf-8") for p in new]
+        self.held += sum(map(len, raw))
         todo: dict[bool, list[int]] = {False: [], True: []}
         for i, b in enumerate(raw):
             token = self.ranks.get(b)
             if token is not None:
                 self.ids_of[new[i]], self.text_of[new[i]] = token.to_bytes(4, "little"), b
+            elif len(b) > max(LONG_BYTES, QUERY_BYTES):
+                ids = self._giant(b)
+                self.ids_of[new[i]] = ids.astype("<i4").tobytes()
+                self.text_of[new[i]] = b"".join(map(self.token.__getitem__, ids.tolist()))
             else:
                 todo[len(b) > LONG_BYTES].append(i)
         for is_long, places in todo.items():
-            for at in range(0, len(places), QUERY_PIECES):
-                some = places[at:at + QUERY_PIECES]
+            places.sort(key=lambda i: len(raw[i]))       # pieces of a query need about as many rounds
+            costs = [len(raw[i]) if is_long else len(raw[i]) ** 2 for i in places]
+            for lo, hi in batches(costs, QUERY_BYTES if is_long else QUERY_SQUARES):
+                some = places[lo:hi]
                 done = (self._long if is_long else self._short)([raw[i] for i in some])
                 names = [new[some[w]] for w in done["wid"].to_pylist()]
                 ids = done["ids"].combine_chunks()
@@ -148,9 +206,10 @@ class Codec:
                 self.text_of.update(zip(names, map(bytes.fromhex, done["hex"].to_pylist())))
 
     def forget(self, most: int = MEMO_PIECES) -> None:
-        if len(self.ids_of) > most:
+        if len(self.ids_of) > most or self.held > MEMO_BYTES:
             self.ids_of.clear()
             self.text_of.clear()
+            self.held = 0
 
     def cut(self, text: str) -> list[str]:
         return self.pattern.findall(text)

@@ -79,3 +79,29 @@ def test_query(spark, reference):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_slices_of_long_pieces_fit_the_memory(codec, reference):
+    """Long runs of letters: queries are cut by the rows they make, not by their pieces alone."""
+    rnd = random.Random(2)
+    run = lambda letters, n: "".join(rnd.choices(letters, k=n))
+    texts = [" ".join([run("ACGT", 100) for _ in range(12_000)]), " ".join([run("日本語中文字符", 27) for _ in range(4_000)]),
+             " ".join([run("acgt", 500) for _ in range(100)]), " ".join(["a" * n for n in range(513, 1_500)]),
+             run("ACGT", 2_500_000)]
+    for t in texts:
+        ids, decoded = B.encode_slice(codec, [t])
+        assert ids[0].tolist() == reference.encode_ordinary(t) and decoded == [t.encode()]
+
+
+def test_pieces_beyond_a_query_equal_the_library(codec, reference, monkeypatch):
+    monkeypatch.setattr(B, "QUERY_BYTES", 6)
+    monkeypatch.setattr(B, "QUERY_SQUARES", 50)
+    monkeypatch.setattr(B, "LONG_BYTES", 4)
+    codec.ids_of.clear()
+    codec.text_of.clear()
+    texts = cases()[:60]
+    ids, decoded = B.encode_slice(codec, texts)
+    assert [x.tolist() for x in ids] == [reference.encode_ordinary(t) for t in texts]
+    assert decoded == [t.encode() for t in texts]
+    codec.forget(0)
+    assert not codec.held
