@@ -286,6 +286,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Rows without words (null, empty, white space) have no shingles and stay alone. Repeated
     rows and repeated ids are rows like others; a null id never names a component that has
     another id, and a component of null ids only is named null. An empty table gives no rows."""
+    return _grouped(docs).drop("root")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """The rows of near_duplicates with root, the set that tells their component from others of
+    one name (repeated and null ids); null without shingles."""
     rows = docs.select("doc_id", whole_text().alias("text"), F.xxhash64(whole_text()).alias("text_key"))
     rows = checkpointed(rows.mapInPandas(
         _signed, "doc_id long, text_key long, n long, fp binary, keys array<long>"))
@@ -328,20 +334,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
     names = named.groupBy("root").agg(F.min("label").alias("component_id"))
-    named = checkpointed(named.join(names, "root").select("fp", "component_id"))
+    named = checkpointed(named.join(names, "root").select("fp", "root", "component_id"))
     out = rows.drop("keys").join(named, "fp", "left")
     return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"),
                       F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-                      .alias("component_id"))
+                      .alias("component_id"), "root")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of every component one row, of the
-    smallest doc_id (of repeated rows any one)."""
-    rows = near_duplicates(docs)
+    smallest doc_id (of its texts under that id the one of the smallest hash, of repeated rows any one)."""
+    rows = _grouped(docs)
     stay = (rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+            .groupBy("root", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
             .agg(F.count(F.lit(1)).alias("__n"), F.max("n_shingles").alias("__size")))
+    alone = [F.when(F.col("root").isNull(), F.col(c)) for c in ("__id", "__key")]       # no shingles: all stay
+    stay = (stay.groupBy("root", *alone).agg(F.min(F.struct("__key", "__id", "__n", "__size")).alias("first"))
+            .select("first.*"))
     stay = checkpointed(stay)
     on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(whole_text()) == F.col("__key"))
     kept = docs.join(stay.where("__n = 1 OR __size = 0").select("__id", "__key"), on, "left_semi")

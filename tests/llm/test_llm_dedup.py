@@ -94,6 +94,16 @@ def test_one_row_of_each_group_stays(spark):
         [(1, "a b c d e f g"), (3, None), (4, ""), (6, "x y z u v w"), (None, "q r s t u v")], key=str)
 
 
+def test_near_copies_under_one_id_leave_one_row(spark):
+    base = " ".join(f"w{j}" for j in range(60))
+    other, third = " ".join(f"v{j}" for j in range(60)), " ".join(f"u{j}" for j in range(60))
+    rows = [(5, base), (5, base + " more"), (8, base + " again"), (7, "an unrelated text a b c"), (7, "under one id d e f g"),
+            (None, other), (None, other + " more"), (None, third), (9, None), (9, "")]
+    out = [(r.doc_id, r.text) for r in D.drop_near_duplicates(frame(spark, rows)).collect()]
+    groups = [rows[:3], rows[3:4], rows[4:5], rows[5:7], rows[7:8], rows[8:9], rows[9:]]
+    assert [len(set(g) & set(out)) for g in groups] == [1] * 7 and len(out) == 7 and rows[2] not in out
+
+
 def test_small_table(spark):
     from conftest import SMALL
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
