@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import string
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -88,3 +89,59 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_folder(spark) -> str:
+    """A new folder for tables in the shared checkpoint folder; ``discard`` it when they are read."""
+    return f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+
+
+def discard(spark, path: str) -> None:
+    """Delete a scratch folder, wherever Spark keeps it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Union-find over the links of one task: every node with its root."""
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for b in batches:
+        for u, v in zip(b["u"], b["v"]):
+            ru, rv = root(u), root(v)
+            if ru != rv:
+                parent[max(ru, rv)] = min(ru, rv)
+    nodes = [x for x in parent if root(x) != x]
+    yield pd.DataFrame({"u": nodes, "v": [root(x) for x in nodes]})
+
+
+def components(links: DataFrame) -> DataFrame:
+    """node, root for every node of ``links`` (u, v: one type) that is not its component's smallest.
+
+    Each task first joins its own links by union-find; the forests left are merged by large-star
+    and small-star rounds, as many as the logarithm of the table. The smallest neighbours are
+    checkpointed before they are joined, so that both sides of the join are plain exchanges and
+    a node with very many links is split over tasks."""
+    kind = links.schema["u"].dataType.simpleString()
+    edges = checkpointed(links.select("u", "v").mapInPandas(_forest, f"u {kind}, v {kind}").distinct())
+    while True:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = (both.join(low, "u").where(F.col("v") > F.col("u"))
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        large = checkpointed(large)
+        low = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = large.join(low, "u").select(F.col("v").alias("u"), "m").where("u <> m")
+        small = checkpointed(small.unionByName(low).select("u", F.col("m").alias("v")).distinct())
+        # stable when every node has one link, to a node that has none
+        nodes = checkpointed(small.groupBy("u").count())
+        if not small.join(nodes.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count() \
+                and not nodes.where("count > 1").limit(1).count():
+            return small.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        edges = small

@@ -5,7 +5,9 @@ from __future__ import annotations
 import string
 
 from .chat import CLOSE, ESCAPE, HEAD, LOSS_ROLE, NEXT, OPEN
+from .hard_negatives import ANCHOR_EVERY, DEN, LABELS, LIMIT, LOW, NEGATIVES, POSITIVES, RELABEL_EVERY
 from .mixing import MAX_EPOCHS, SEED, SHARE_DEN, SHARE_NUM
+from .prefix_trie import FAMILY, HEADS
 from .sharding import SHARDS
 
 _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
@@ -169,3 +171,69 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+HARD_NEGATIVES = f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % {RELABEL_EVERY} = 0 THEN (CAST(label AS BIGINT) + 1) % {LABELS} ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(least(greatest(floor(256 * CAST(x AS DOUBLE)),
+                        -{LIMIT}), {LIMIT}) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.r AS a, a.vec_id AS anchor_id, c.r, c.vec_id, a.label = c.label AS same,
+         CAST(coalesce(list_sum(list_transform(range(1, least(len(a.v), len(c.v)) + 1),
+              lambda i: a.v[i] * c.v[i])), 0) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.r <> c.r WHERE a.vec_id % {ANCHOR_EVERY} = 0),
+p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, r) <= {POSITIVES}),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+         s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.a, p.r ORDER BY s.score DESC, s.vec_id, s.r) AS INT) AS rank
+  FROM p JOIN s ON p.a = s.a AND NOT s.same
+    AND {LOW} * p.score <= {DEN} * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {NEGATIVES}"""
+
+# Every prefix of every rebuilt conversation, grouped; sums over subtrees go to every prefix of a node.
+PREFIX_TRIE = f"""
+WITH {_CRC},
+t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                            md5(coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT conv_id, count(*) AS n, hex(CAST(conv_id AS VARCHAR)) AS x FROM t GROUP BY conv_id),
+c AS (
+  SELECT conv_id, conv_id - conv_id % {FAMILY} AS base, xor(list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(x) // 2),
+                        lambda i: CAST('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+           lambda a, b: xor(a >> 8, k[(xor(a, b) & 255) + 1])), 4294967295) % {HEADS} AS h
+  FROM n, k),
+r AS (
+  SELECT c.conv_id, t.pos, role, text FROM c JOIN t ON t.conv_id = c.base WHERE t.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, least(c.h, coalesce(n.n, 0)) + t.pos - c.h, role, text
+  FROM c JOIN t USING (conv_id) LEFT JOIN n ON n.conv_id = c.base WHERE t.pos >= c.h),
+w AS (
+  SELECT conv_id, list(md5(role) || md5(text) ORDER BY pos) AS p, list(length(text) ORDER BY pos) AS l
+  FROM r GROUP BY conv_id),
+f AS (SELECT conv_id, coalesce(p, []) AS p, coalesce(l, []) AS l FROM c LEFT JOIN w USING (conv_id)),
+u AS (SELECT *, unnest(range(len(p) + 1)) AS depth FROM f),
+node AS (
+  SELECT depth, p[1:depth] AS key, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * coalesce(any_value(CASE WHEN depth > 0 THEN l[depth] END), 0) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = len(p)), '')) AS ends
+  FROM u GROUP BY depth, key),
+child AS (SELECT depth - 1 AS depth, key[1:depth - 1] AS key, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+leaf AS (SELECT node.*, coalesce(child.n, 0) AS n_children FROM node LEFT JOIN child USING (depth, key)),
+up AS (
+  SELECT d, key[1:d] AS key, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM leaf) GROUP BY d, key[1:d])
+SELECT x.conv_id, x.depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, up.leaves AS n_leaves,
+       CAST(up.saved AS BIGINT) AS saved_tokens, x.ends AS ends_sha256
+FROM leaf x JOIN up ON up.d = x.depth AND up.key = x.key
+LEFT JOIN node y ON y.depth = x.depth - 1 AND y.key = x.key[1:x.depth - 1]"""

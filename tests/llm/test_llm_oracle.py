@@ -18,6 +18,9 @@ COLUMNS = {
     "op8_near_dedup": "doc_id n_shingles component_id kept",
     "op9_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op10_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_simhash": "doc_id fingerprint component_id",
 }
 
 
