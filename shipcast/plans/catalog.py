@@ -5,6 +5,8 @@ plain types (BIGINT, DOUBLE rounded for cross-engine comparison, STRING, BOOLEAN
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -117,6 +119,12 @@ def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return _PERSISTED[key]
 
 
+def folder_tag(sf_dir: str) -> str:
+    """A name for a data folder in scratch paths: of two folders of one name, each has its own."""
+    folder = sf_dir.rstrip("/")
+    return f"{os.path.basename(folder)}-{hashlib.md5(folder.encode()).hexdigest()[:8]}"
+
+
 def forget() -> None:
     """Drop every frame and run kept between queries (the bench times each query alone)."""
     _PERSISTED.clear()

@@ -4,7 +4,6 @@ TK-02, SNK-05. The same plans audit a fitted model in ``q_model``."""
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from ..functions.exprs import sql_bucket
 from ..operators import audit as au
 from ..operators import reports as rp
 from ..session import scratch_path
-from .catalog import finalize, hist_sql, query, shared
+from .catalog import finalize, folder_tag, hist_sql, query, shared
 from .q_split import SPLIT_CTES, model_frame
 
 
@@ -169,7 +168,7 @@ def tk_02(spark, sf_dir):
  CAST(""" + str(len(au.SUMMARY_NOTES)) + """ AS BIGINT) AS n_notes FROM a_err""", AUDIT_CTES)
 def snk_05(spark, sf_dir):
     """SNK-05: the error summary, written as JSON and read back."""
-    path = scratch_path(spark, f"error-summary-{os.path.basename(sf_dir.rstrip('/'))}")
+    path = scratch_path(spark, f"error-summary-{folder_tag(sf_dir)}")
     au.write_summary(au.error_summary(fixed_errors(spark, sf_dir)), path)
     s = au.read_summary(spark, path)
     return finalize(s.select("bias_days", "within_1d_pct", "within_2d_pct",

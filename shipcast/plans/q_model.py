@@ -4,19 +4,21 @@ a fitted model (note, validation, rounding, sinks) are checked against DuckDB.""
 
 from __future__ import annotations
 
-import os
+import hashlib
+import json
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit as au
+from ..operators import linear
 from ..operators import model as md
 from ..operators import scoring as sc
 from ..operators import split as sp
 from ..operators.features import CATEGORICAL_FEATURES, FEATURE_COLUMNS, NUMERIC_FEATURES, TARGET
 from ..session import scratch_path
-from .catalog import finalize, query, ts_sql
+from .catalog import finalize, folder_tag, query, ts_sql
 from .q_audit import AUDIT_CTES, fixed_predictions
 from .q_features import FEATURE_CTES, FEATURE_SELECT_SQL, features
 from .q_split import SPLIT_CTES, _model_cols_sql, model_frame, notebook_frame
@@ -37,22 +39,41 @@ def n_trees(spark: SparkSession, default: int = md.DEFAULT_TREES) -> int:
     return int(spark.conf.get("shipcast.model.trees", None) or default)
 
 
+def store_path(spark: SparkSession, sf_dir: str, name: str, trees: int) -> str:
+    """Where a fitted run of these tables and settings is kept: in ``shipcast.run.store`` if the job
+    names one, else in the checkpoint folder. Other input files or settings give another path."""
+    told = [name, trees, md.SEED, NUMERIC_FEATURES, CATEGORICAL_FEATURES, md.input_state(spark, sf_dir.rstrip("/"))]
+    key = hashlib.sha256(json.dumps([RUN_FORMAT, *told]).encode()).hexdigest()[:32]
+    base = spark.conf.get("shipcast.run.store", None) or scratch_path(spark, "runs")
+    return f"{base.rstrip('/')}/{key}"
+
+
+# Raise it when the way models are fitted changes: stored runs of other formats are not read.
+RUN_FORMAT = 1
+
+
 def main_run(spark: SparkSession, sf_dir: str) -> dict:
-    """Fit the seven candidates on train, rank on validation, score test once (cached)."""
+    """Fit the seven candidates on train, rank on validation, score test once; a run that any session
+    has stored is loaded instead."""
     key = run_key(spark, sf_dir, "main")
     if key not in _RUNS:
+        trees = n_trees(spark)
+        path = store_path(spark, sf_dir, "main", trees)
         mf = model_frame(spark, sf_dir)
         train, val, test = (mf.where(F.col("split") == s) for s in ("train", "val", "test"))
-        comp = md.compare(train, val, n_trees=n_trees(spark))
-        best = comp.pipelines[comp.best_name]
-        test_scored = best.transform(test)
-        test_metrics = au.metrics(test_scored).first().asDict()
-        _RUNS[key] = {"comp": comp, "best": best, "test": test, "test_metrics": test_metrics}
+        if md.committed(spark, path):
+            comp, test_metrics = md.loaded_run(spark, path, train)
+        else:
+            comp = md.compare(train, val, n_trees=trees)
+            test_metrics = au.metrics(comp.pipelines[comp.best_name].transform(test)).first().asDict()
+            md.commit_run(spark, path, lambda p: md.save_run(comp, md.metadata_frame(spark, comp, test_metrics), p))
+        _RUNS[key] = {"comp": comp, "best": comp.pipelines[comp.best_name], "test": test,
+                      "test_metrics": test_metrics}
     return _RUNS[key]
 
 
 # fixed values of the reference: the notebook's model presets
-NB_PRESETS = dict(gbt_step=0.1, gbt_depth=5, rf_min_leaf=1, gbt_subsample=1.0)
+NB_PRESETS = dict(gbt_step=0.1, gbt_depth=5, rf_min_leaf=1, gbt_subsample=1.0, columns=1.0)
 NB_TREES = 100
 
 
@@ -60,33 +81,70 @@ def notebook_run(spark: SparkSession, sf_dir: str) -> dict:
     """ML-08 / ML-09: the notebook's log-target experiment with its model presets."""
     key = run_key(spark, sf_dir, "notebook")
     if key not in _RUNS:
-        nb = notebook_frame(spark, sf_dir)
-        cols = list(dict.fromkeys(sp.NOTEBOOK_NUMERIC + sp.NOTEBOOK_CATEGORICAL))
-        nb = nb.dropna(subset=cols)
-        train, test = nb.where(F.col("split") == "train"), nb.where(F.col("split") == "test")
         trees = n_trees(spark, NB_TREES)
-        comp = md.compare(train, test, n_trees=trees, numeric=sp.NOTEBOOK_NUMERIC,
-                          categorical=sp.NOTEBOOK_CATEGORICAL, label="delivery_time_log", **NB_PRESETS)
-        rows = []
-        for name, pipe in comp.pipelines.items():
-            s = pipe.transform(test).select(TARGET, F.expm1("prediction").alias("prediction"))
-            m = au.metrics(s).first().asDict()
-            rows.append({"model": name, **{k: m[k] for k in ("MAE", "RMSE", "R2", "within_2d")}})
+        path = store_path(spark, sf_dir, "notebook", trees)
+        if not md.committed(spark, path):
+            nb = notebook_frame(spark, sf_dir)
+            cols = list(dict.fromkeys(sp.NOTEBOOK_NUMERIC + sp.NOTEBOOK_CATEGORICAL))
+            nb = nb.dropna(subset=cols)
+            train, test = nb.where(F.col("split") == "train"), nb.where(F.col("split") == "test")
+            comp = md.compare(train, test, n_trees=trees, numeric=sp.NOTEBOOK_NUMERIC,
+                              categorical=sp.NOTEBOOK_CATEGORICAL, label="delivery_time_log", **NB_PRESETS)
+            rows = []
+            for name, pipe in comp.pipelines.items():
+                s = pipe.transform(test).select(TARGET, F.expm1("prediction").alias("prediction"))
+                m = au.metrics(s).first().asDict()
+                rows.append({"model": name, **{k: m[k] for k in ("MAE", "RMSE", "R2", "within_2d")}})
+            md.commit_run(spark, path, lambda p: spark.createDataFrame(rows).coalesce(1).write.parquet(f"{p}/results"))
         # ranked in days: the models are fitted on log days
-        _RUNS[key] = {"comp": comp, "results": spark.createDataFrame(rows).orderBy("MAE", "model")}
+        results = spark.read.parquet(f"{path}/results").orderBy("MAE", "model")
+        _RUNS[key] = {"results": results, "n_trees": trees}
     return _RUNS[key]
 
 
 @query("ml_01")
 def ml_01(spark, sf_dir):
     """ML-01: encoded model inputs (median impute, standardise, one-hot) for every split."""
-    r = main_run(spark, sf_dir)
-    pre = r["best"]
     mf = model_frame(spark, sf_dir)
-    enc = pre.transform(mf)
+    enc = md.fit_preprocessing(mf.where(F.col("split") == "train")).transform(mf)
     return enc.select("order_id", "split", vector_to_array("features").alias("features"))
 
 
+@query("ml_01_scales", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS median, "
+    f"round(avg(CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_pop(CAST({c} AS DOUBLE)), 6) AS std "
+    "FROM t_model WHERE split = 'train'" for c in NUMERIC_FEATURES) + ")", SPLIT_CTES)
+def ml_01_scales(spark, sf_dir):
+    """ML-01: the train medians, means and deviations that impute and standardise the numerics."""
+    train = model_frame(spark, sf_dir).where(F.col("split") == "train")
+    return finalize(spark.createDataFrame(md.scales(train), "feature string, median double, mean double, std double"))
+
+
+# Products summed over rows: a row as (name, value) pairs, joined with itself.
+_GRAM_SQL = f"""WITH tr AS (SELECT * FROM t_model WHERE split = 'train'),
+ p AS (SELECT order_id, 'one' AS name, 1.0::DOUBLE AS v FROM tr
+   UNION ALL SELECT order_id, 'target', {TARGET} FROM tr
+   {" ".join(f"UNION ALL SELECT order_id, '{c}', (CAST({c} AS DOUBLE) - (SELECT avg(CAST({c} AS DOUBLE)) FROM tr)) / "
+             f"(SELECT CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1 ELSE stddev_pop(CAST({c} AS DOUBLE)) END FROM tr) FROM tr"
+             for c in NUMERIC_FEATURES)}
+   {" ".join(f"UNION ALL SELECT order_id, '{c}_' || CAST({c} AS VARCHAR), 1.0 FROM tr" for c in CATEGORICAL_FEATURES)}),
+ s AS (SELECT a.name AS a, b.name AS b, sum(a.v * b.v) AS total FROM p a JOIN p b USING (order_id) GROUP BY 1, 2),
+ n AS (SELECT DISTINCT name FROM p)
+ SELECT x.name AS a, y.name AS b, round(coalesce(s.total, 0.0) / (SELECT count(*) FROM tr), 6) AS mean_product
+ FROM n x CROSS JOIN n y LEFT JOIN s ON s.a = x.name AND s.b = y.name"""
+
+
+@query("ml_02_gram", _GRAM_SQL, SPLIT_CTES)
+def ml_02_gram(spark, sf_dir):
+    """ML-02: the Gram matrix (means of products) from which the linear candidates are solved."""
+    train = model_frame(spark, sf_dir).where(F.col("split") == "train")
+    pre = md.fit_preprocessing(train)
+    names = ["one", *md.feature_names(pre), "target"]
+    g = linear.gram(pre.transform(train), TARGET)
+    rows = [(a, b, float(g[i, j] / g[0, 0])) for i, a in enumerate(names) for j, b in enumerate(names)]
+    return finalize(spark.createDataFrame(rows, "a string, b string, mean_product double"))
+
+
 @query("ml_02")
 def ml_02(spark, sf_dir):
     """ML-02: the seven candidates with their train-split metrics."""
@@ -169,11 +227,10 @@ def ml_08(spark, sf_dir):
 def ml_09(spark, sf_dir):
     """ML-09: the notebook's model presets, with their validation ranking."""
     run = notebook_run(spark, sf_dir)
-    comp = run["comp"]
-    presets = spark.createDataFrame(
-        [(n, comp.n_trees, NB_PRESETS["gbt_step"], NB_PRESETS["gbt_depth"]) for n in comp.pipelines],
-        "model string, n_trees long, gbt_learning_rate double, gbt_depth long")
-    return finalize(presets.join(run["results"].select("model", F.col("MAE").alias("val_MAE")), "model"))
+    return finalize(run["results"].select(
+        "model", F.lit(run["n_trees"]).cast("long").alias("n_trees"),
+        F.lit(NB_PRESETS["gbt_step"]).alias("gbt_learning_rate"),
+        F.lit(NB_PRESETS["gbt_depth"]).cast("long").alias("gbt_depth"), F.col("MAE").alias("val_MAE")))
 
 
 # --- projections of scoring that need no fitted model: checked against DuckDB -------------------
@@ -237,8 +294,7 @@ def prj_18_spoilt(spark, sf_dir):
 
 # --- sinks and sources ----------------------------------------------------------------------------
 def _out(spark, sf_dir, name: str) -> str:
-    tag = os.path.basename(sf_dir.rstrip("/"))
-    return scratch_path(spark, f"{tag}/{name}")
+    return scratch_path(spark, f"{folder_tag(sf_dir)}/{name}")
 
 
 @query("snk_01", f"SELECT {FEATURE_SELECT_SQL} FROM t_feat", FEATURE_CTES)
@@ -267,7 +323,7 @@ def snk_03(spark, sf_dir):
     """SNK-03 + SRC-03: persist the chosen pipeline, re-load it, score test with both; the
     predictions must be equal."""
     r = main_run(spark, sf_dir)
-    path = _out(spark, sf_dir, "models")
+    path = _out(spark, sf_dir, "models-snk_03")
     meta = md.metadata_frame(spark, r["comp"], r["test_metrics"])
     md.save_run(r["comp"], meta, path)
     loaded, _ = md.load_run(spark, path)
@@ -302,7 +358,7 @@ def ml_13_fitted(spark, sf_dir):
 @query("src_03")
 def src_03(spark, sf_dir):
     """SRC-03: re-load model, metadata and the written test split; score the test split."""
-    path = _out(spark, sf_dir, "models")
+    path = _out(spark, sf_dir, "models-src_03")
     r = main_run(spark, sf_dir)
     md.save_run(r["comp"], md.metadata_frame(spark, r["comp"], r["test_metrics"]), path)
     model, meta = md.load_run(spark, path)
