@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import base64
 import ctypes
+import threading
 from collections.abc import Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -37,6 +39,10 @@ LONG_BYTES = 512
 # long pieces keep a row a byte: bytes of one query; a piece beyond that is contracted in arrays (see _giant).
 QUERY_SQUARES = 5_000_000
 QUERY_BYTES = 500_000
+# Ids of one decoding query.
+DECODE_IDS = 1_500_000
+# Seconds after which an idle worker drops its tables and memos: other stages need the memory.
+IDLE_SECONDS = 5.0
 NO_MERGE = np.iinfo(np.int32).max
 SCHEMA = "doc_id long, ids array<int>, decoded binary"
 
@@ -56,10 +62,13 @@ _TOKENS = """
         WHERE s.pos <> b.pos) u
   LEFT JOIN merges g ON fresh AND g.l = u.l AND g.r = u.r)"""
 
-# The rows of a piece's last round are its tokens in order; their bytes, in order, its text.
+# The rows of a piece's last round are its tokens in order.
 _RESULT = """
-SELECT wid, list(l ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS hex
-FROM {rows} JOIN vocabulary ON id = l GROUP BY wid"""
+SELECT wid, list(l ORDER BY pos) AS ids FROM {rows} GROUP BY wid"""
+
+# The bytes of a row's tokens, in order, are its text.
+_DECODE = """
+SELECT wid, string_agg(hex, '' ORDER BY pos) AS hex FROM ids JOIN vocabulary ON id = l GROUP BY wid"""
 
 _SHORT = f"""WITH RECURSIVE {_TOKENS},
   done AS (SELECT s.* FROM s JOIN (SELECT wid, max(it) AS it FROM s GROUP BY wid) USING (wid, it))
@@ -112,9 +121,8 @@ class Codec:
         self.pair, self.merged = l << 32 | r, m.astype(np.int32)
         self._table("vocabulary", {"id": np.array(list(self.ranks.values()), np.int32),
                                    "hex": [t.hex() for t in self.ranks]})
-        # what each known piece encodes to (32-bit ids, packed) and what those ids decode to
+        # what each known piece encodes to (32-bit ids, packed)
         self.ids_of: dict[str, bytes] = {}
-        self.text_of: dict[str, bytes] = {}
         self.held = 0       # bytes of the memo's pieces
 
     def _table(self, name: str, columns: dict) -> None:
@@ -185,11 +193,9 @@ class Codec:
         for i, b in enumerate(raw):
             token = self.ranks.get(b)
             if token is not None:
-                self.ids_of[new[i]], self.text_of[new[i]] = token.to_bytes(4, "little"), b
+                self.ids_of[new[i]] = token.to_bytes(4, "little")
             elif len(b) > max(LONG_BYTES, QUERY_BYTES):
-                ids = self._giant(b)
-                self.ids_of[new[i]] = ids.astype("<i4").tobytes()
-                self.text_of[new[i]] = b"".join(map(self.token.__getitem__, ids.tolist()))
+                self.ids_of[new[i]] = self._giant(b).astype("<i4").tobytes()
             else:
                 todo[len(b) > LONG_BYTES].append(i)
         for is_long, places in todo.items():
@@ -203,73 +209,51 @@ class Codec:
                 packed = np.ascontiguousarray(ids.values.to_numpy(), "<i4").tobytes()
                 cuts = (ids.offsets.to_numpy() * 4).tolist()
                 self.ids_of.update(zip(names, [packed[i:j] for i, j in zip(cuts, cuts[1:])]))
-                self.text_of.update(zip(names, map(bytes.fromhex, done["hex"].to_pylist())))
 
     def forget(self, most: int = MEMO_PIECES) -> None:
         if len(self.ids_of) > most or self.held > MEMO_BYTES:
             self.ids_of.clear()
-            self.text_of.clear()
             self.held = 0
 
     def cut(self, text: str) -> list[str]:
         return self.pattern.findall(text)
 
     def decode(self, rows: list[np.ndarray]) -> list[bytes]:
-        """The bytes of each row of ids."""
+        """The bytes of each row of ids, by ordered aggregation over the vocabulary joined to
+        them; rows go into queries of bounded size, a row beyond that in parts."""
         sizes = np.array([len(x) for x in rows], np.int64)
         flat = np.concatenate([np.zeros(0, np.int32), *rows]).astype(np.int32)
-        self._table("ids", {"wid": np.repeat(np.arange(len(rows)), sizes), "pos": np.arange(len(flat)), "l": flat})
-        got = dict(self.db.execute("SELECT wid, string_agg(hex, '' ORDER BY pos) FROM ids "
-                                   "JOIN vocabulary ON id = l GROUP BY wid").fetchall())
-        return [bytes.fromhex(got.get(i, "")) for i in range(len(rows))]
-
-
-# A word after a space that ends in ASCII letters, or in those and one more character, is cut without the
-# pattern: a run of letters is one piece and a single other character after it another.
-def _parts(codec: Codec, word: str) -> list[str]:
-    if word.isascii() and word:
-        if word.isalpha():
-            return [" " + word]
-        if word[:-1].isalpha() and not word[-1].isspace():
-            return [" " + word[:-1], word[-1]]
-    return codec.cut(" " + word)
-
-
-# No piece of the pattern crosses from a non-space character to a space, so a text whose spaces all
-# stand between other characters can be cut at them, and equal words are cut once.
-_ODD_SPACE = regex.compile(r"^ | $|\s | \s")
+        ends = sizes.cumsum()
+        out: list[list[bytes]] = [[] for _ in rows]
+        for at in range(0, len(flat), DECODE_IDS):
+            some = np.arange(at, min(at + DECODE_IDS, len(flat)))
+            wid = np.searchsorted(ends, some, "right").astype(np.int32)
+            self._table("ids", {"wid": wid, "pos": (some - at).astype(np.int32), "l": flat[some]})
+            done = self.db.sql(_DECODE).to_arrow_table()
+            for i, h in zip(done["wid"].to_pylist(), done["hex"].to_pylist()):
+                out[i].append(bytes.fromhex(h))
+        return [x[0] if len(x) == 1 else b"".join(x) for x in out]
 
 
 def encode_slice(codec: Codec, texts: list[str]) -> tuple[list[np.ndarray], list[bytes]]:
-    """ids and decoded bytes of every text."""
+    """ids of every text, and the bytes that these ids decode to."""
     codec.forget()
-    plain = [bool(t) and not _ODD_SPACE.search(t) for t in texts]
-    seen: set[str] = set()
-    for t, even in zip(texts, plain):
-        if even:
-            seen.update(t.split(" ")[1:])
-    words = {w: _parts(codec, w) for w in seen}
-    heads = [codec.cut(t.split(" ", 1)[0]) if even else codec.cut(t) for t, even in zip(texts, plain)]
-    pieces = {p for parts in words.values() for p in parts}
-    for h in heads:
-        pieces.update(h)
-    codec.learn(pieces)
-
-    def told(of: dict[str, bytes]) -> Iterator[bytes]:
-        known = {w: of[parts[0]] if len(parts) == 1 else b"".join([of[p] for p in parts])
-                 for w, parts in words.items()}
-        for t, even, head in zip(texts, plain, heads):
-            out = b"".join([of[p] for p in head])
-            yield out + b"".join(map(known.__getitem__, t.split(" ")[1:])) if even else out
-
-    return [np.frombuffer(x, "<i4") for x in told(codec.ids_of)], list(told(codec.text_of))
+    pieces = [codec.cut(t) for t in texts]
+    codec.learn(set(chain.from_iterable(pieces)))
+    known = codec.ids_of.__getitem__
+    rows = [np.frombuffer(b"".join(map(known, p)), "<i4") for p in pieces]
+    del pieces
+    return rows, codec.decode(rows)
 
 
 _CODECS: dict[tuple[int, str], Codec] = {}
+_IDLE: list[threading.Timer] = []
 
 
 def codec(rank_file: bytes, pattern: str) -> Codec:
     """This process's codec of a vocabulary; tasks that follow in a worker reuse it."""
+    while _IDLE:
+        _IDLE.pop().cancel()
     key = (hash(rank_file), pattern)
     if key not in _CODECS:
         _CODECS.clear()
@@ -278,12 +262,24 @@ def codec(rank_file: bytes, pattern: str) -> Codec:
 
 
 def give_back() -> None:
-    """Return freed memory to the system: a worker outlives its task and may idle through the
-    stages that follow."""
+    """Return freed memory to the system, and the codec too if no task follows soon: a worker outlives
+    its task and may idle through the stages that follow."""
+    def release() -> None:
+        _CODECS.clear()
+        trim()
+
+    trim()
+    timer = threading.Timer(IDLE_SECONDS, release)
+    timer.daemon = True
+    timer.start()
+    _IDLE.append(timer)
+
+
+def trim() -> None:
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc
-    if trim:
-        trim(0)
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc
+    if give:
+        give(0)
 
 
 def _slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:

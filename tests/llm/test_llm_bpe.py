@@ -44,7 +44,6 @@ def test_memo_limits_do_not_change_results(codec, reference, monkeypatch):
     monkeypatch.setattr(B, "QUERY_PIECES", 7)
     monkeypatch.setattr(B, "LONG_BYTES", 6)
     codec.ids_of.clear()
-    codec.text_of.clear()
     texts = cases()[:60]
     ids, _ = B.encode_slice(codec, texts)
     assert [x.tolist() for x in ids] == [reference.encode_ordinary(t) for t in texts]
@@ -98,7 +97,6 @@ def test_pieces_beyond_a_query_equal_the_library(codec, reference, monkeypatch):
     monkeypatch.setattr(B, "QUERY_SQUARES", 50)
     monkeypatch.setattr(B, "LONG_BYTES", 4)
     codec.ids_of.clear()
-    codec.text_of.clear()
     texts = cases()[:60]
     ids, decoded = B.encode_slice(codec, texts)
     assert [x.tolist() for x in ids] == [reference.encode_ordinary(t) for t in texts]
