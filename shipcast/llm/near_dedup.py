@@ -2,9 +2,9 @@
 and union-find grouping.
 
 A document's set holds its distinct five-word shingles (64-bit hashes); two documents are
-linked if 100 * |A and B| >= 85 * |A or B|. Rows with one set form one class, so exact
+linked if 100 * |A and B| >= percent * |A or B|. Rows with one set form one class, so exact
 copies never meet as pairs. Classes that agree in a whole band of their signatures share a
-bucket; a link of similarity 0.85 misses all buckets with probability 3e-8.
+bucket; a link of similarity 0.85 misses all buckets with probability 3e-8, one of 0.80 with 7e-6.
 
 No bucket is expanded into its pairs and none is capped:
 1. every member of a bucket is verified against the bucket's hub, the member that shares most
@@ -15,7 +15,7 @@ No bucket is expanded into its pairs and none is capped:
    holds the sets of two blocks and answers with links only, so no pairs travel.
 So every pair of a bucket is linked, verified apart, bounded apart or already together. The
 cost beyond linear is step 3: members times blocks of one hub, for groups of similar texts that
-the limit of 0.85 splits into many components."""
+the limit splits into many components."""
 
 from __future__ import annotations
 
@@ -28,10 +28,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, documents, join_small, whole_text
+from .common import checkpointed, components, documents, join_small, whole_text
 
 SHINGLE = 5
-LINK_NUM, LINK_DEN = 85, 100
+# Two sets are linked at this similarity, in per cent, unless the caller says otherwise.
+PERCENT = 85
+# The bands are laid out for limits from here on; a lower one would miss links.
+LEAST_PERCENT = 80
 BANDS, ROWS = 30, 5
 SLOTS = BANDS * ROWS
 # Elements that hold a permutation at a time; words whose hashes are remembered.
@@ -144,51 +147,8 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"fp": [digest(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
 
 
-def linked(inter: Column, n: Column, m: Column) -> Column:
-    return inter * LINK_DEN >= (n + m - inter) * LINK_NUM
-
-
-def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Union-find over the links of one task: every node with its root."""
-    parent: dict[bytes, bytes] = {}
-
-    def root(x: bytes) -> bytes:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for b in batches:
-        for u, v in zip(b["u"], b["v"]):
-            ru, rv = root(bytes(u)), root(bytes(v))
-            if ru != rv:
-                parent[max(ru, rv)] = min(ru, rv)
-    nodes = [x for x in parent if root(x) != x]
-    yield pd.DataFrame({"u": nodes, "v": [root(x) for x in nodes]})
-
-
-def components(links: DataFrame) -> DataFrame:
-    """node, root for every node of ``links`` (u, v) that is not its component's smallest.
-
-    Each task first joins its own links by union-find; the forests left are merged by large-star
-    and small-star rounds, which need a number of rounds that grows with the logarithm of the
-    table, not with the length of a chain."""
-    edges = checkpointed(links.select("u", "v").mapInPandas(_forest, "u binary, v binary").distinct())
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(low, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        large = checkpointed(large)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), "m").where("u <> m")
-        small = checkpointed(small.unionByName(low).select("u", F.col("m").alias("v")).distinct())
-        # stable when every node has one link, to a node that has none
-        nodes = small.groupBy("u").count()
-        if not small.join(nodes.withColumnRenamed("u", "v").select("v"), "v", "left_semi").limit(1).count() \
-                and not nodes.where("count > 1").limit(1).count():
-            return small.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        edges = small
+def linked(inter: Column, n: Column, m: Column, percent: int = PERCENT) -> Column:
+    return inter * 100 >= (n + m - inter) * percent
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -200,7 +160,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                        F.size(F.array_intersect("a", "b")).alias("inter"))
 
 
-def _compare(p: pd.DataFrame) -> pd.DataFrame:
+def _compare(p: pd.DataFrame, percent: int) -> pd.DataFrame:
     """The links between different components among the sets of one task, all compared exactly;
     of links that join the same components one is enough."""
     sets = [np.asarray(x) for x in p["shingles"]]
@@ -218,7 +178,7 @@ def _compare(p: pd.DataFrame) -> pd.DataFrame:
         has[owner[mine], column[mine] - at] = 1
         inter += has @ has.T
     either = sizes[:, None] + sizes[None, :] - inter
-    pairs = np.argwhere(np.triu(inter * LINK_DEN >= either * LINK_NUM, 1))
+    pairs = np.argwhere(np.triu(inter * 100 >= either * percent, 1))
     fps, roots = [bytes(x) for x in p["fp"]], [bytes(x) for x in p["root"]]
     parent: dict[bytes, bytes] = {}
 
@@ -236,11 +196,11 @@ def _compare(p: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["u", "v"])
 
 
-def block_links(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def block_links(nodes: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (u, v) between different components of ``nodes`` (hub, fp, n, root), as many as join
     them, among all pairs of nodes under one hub.
 
-    A node at most 85 % of whose shingles another node holds has no link and goes. Under each
+    A node of whose shingles other nodes hold less than ``percent`` has no link and goes. Under each
     hub, nodes outside its largest component are compared with each other and with that
     component, block by block: a node travels once for every block it meets, and a task
     holds the sets of two blocks, compares them in memory and answers with links only."""
@@ -249,19 +209,21 @@ def block_links(nodes: DataFrame, sets: DataFrame) -> DataFrame:
               .groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("fp").alias("fp")).where("c = 1")
               .groupBy("fp").agg(F.count(F.lit(1)).alias("single")))
     alive = nodes.join(single, "fp", "left").where(
-        (F.col("n") - F.coalesce("single", F.lit(0))) * LINK_DEN >= F.col("n") * LINK_NUM).drop("single")
+        (F.col("n") - F.coalesce("single", F.lit(0))) * 100 >= F.col("n") * percent).drop("single")
     alive = checkpointed(alive)
-    largest = (alive.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("c"))
+    # what is known of a hub is checkpointed before it is joined: then both sides of the join are
+    # plain exchanges, and the many nodes of one hub are split over tasks
+    largest = checkpointed(alive.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("c"))
                .groupBy("hub").agg(F.max(F.struct("c", "root")).alias("top"))
                .select("hub", F.col("top.root").alias("main")))
-    alive = alive.join(largest, "hub").withColumn("rest", F.col("root") != F.col("main"))
+    alive = checkpointed(alive.join(largest, "hub").withColumn("rest", F.col("root") != F.col("main")))
 
     def blocks(flag: Column) -> Column:
         n = F.sum(F.when(flag, F.col("n")).otherwise(0))
         return F.ceil(F.greatest(F.count_if(flag) / BLOCK_NODES, n / BLOCK_SHINGLES)).cast("int")
 
     sizes = alive.groupBy("hub").agg(blocks(F.col("rest")).alias("rests"), blocks(~F.col("rest")).alias("mains"))
-    alive = alive.join(sizes.where("rests > 0"), "hub")
+    alive = alive.join(checkpointed(sizes.where("rests > 0")), "hub")
     mine = F.pmod(F.xxhash64("fp"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("mains"))).cast("int")
 
     def meet(count: str, task) -> Column:
@@ -275,32 +237,36 @@ def block_links(nodes: DataFrame, sets: DataFrame) -> DataFrame:
         meet("rests", lambda o: (F.lit(1), o, F.col("mine"))))
     sent = alive.withColumn("mine", mine).select("hub", "fp", "root", F.explode(tasks).alias("task"))
     sent = sent.select("hub", "fp", "root", "task.*").join(sets, "fp")
-    return sent.groupBy("hub", "kind", "i", "j").applyInPandas(_compare, "u binary, v binary")
+    return sent.groupBy("hub", "kind", "i", "j").applyInPandas(
+        lambda p: _compare(p, percent), "u binary, v binary")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns ignored): doc_id, text_key (a
     64-bit hash of the text), n_shingles and component_id, the smallest doc_id among the rows
-    that links reach, the row's own included.
+    that links of ``percent`` similarity or more reach, the row's own included.
 
     Rows without words (null, empty, white space) have no shingles and stay alone. Repeated
     rows and repeated ids are rows like others; a null id never names a component that has
     another id, and a component of null ids only is named null. An empty table gives no rows."""
-    return _grouped(docs).drop("root")
+    return _grouped(docs, percent).drop("root")
 
 
-def _grouped(docs: DataFrame) -> DataFrame:
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     """The rows of near_duplicates with root, the set that tells their component from others of
     one name (repeated and null ids); null without shingles."""
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"the limit must be at least {LEAST_PERCENT} per cent, not {percent}")
     rows = docs.select("doc_id", whole_text().alias("text"), F.xxhash64(whole_text()).alias("text_key"))
     rows = checkpointed(rows.mapInPandas(
         _signed, "doc_id long, text_key long, n long, fp binary, keys array<long>"))
-    known = rows.where(F.col("fp").isNotNull())
-    classes = known.groupBy("fp").agg(F.min("doc_id").alias("label"))
+    # one row a class: copies go before their keys are dealt to buckets
+    classes = checkpointed(rows.where(F.col("fp").isNotNull()).groupBy("fp").agg(
+        F.min("doc_id").alias("label"), F.first("n").cast("int").alias("n"), F.first("keys").alias("keys")))
 
-    # buckets of two classes or more (rows of one class have the same keys)
-    members = known.select("fp", F.col("n").cast("int").alias("n"), F.explode("keys").alias("key")).distinct()
-    members = checkpointed(members)
+    # buckets of two classes or more
+    members = checkpointed(classes.select("fp", "n", F.explode("keys").alias("key")))
+    classes = classes.select("fp", "label")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = checkpointed(members.join(sizes, "key"))
     central = shared.groupBy("fp").agg(F.sum("size").alias("weight"))
@@ -319,7 +285,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
 
     stars = shared.where("fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v")).distinct()
     stars = checkpointed(verify(stars, sets))
-    links = stars.where(linked(F.col("inter"), F.col("n_u"), F.col("n_v"))).select("u", "v")
+    links = stars.where(linked(F.col("inter"), F.col("n_u"), F.col("n_v"), percent)).select("u", "v")
     roots = components(links)
 
     # members of buckets that more than one component shares
@@ -328,7 +294,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     open_ = (placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
              .where("a <> b").select("key"))
     placed = checkpointed(placed.join(open_, "key").select("hub", "fp", "n", "root").distinct())
-    more = checkpointed(block_links(placed, sets))
+    more = checkpointed(block_links(placed, sets, percent))
     roots = components(links.unionByName(more))
 
     named = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
@@ -341,10 +307,11 @@ def _grouped(docs: DataFrame) -> DataFrame:
                       .alias("component_id"), "root")
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of every component one row, of the
-    smallest doc_id (of its texts under that id the one of the smallest hash, of repeated rows any one)."""
-    rows = _grouped(docs)
+    smallest doc_id (of its texts under that id the one of the smallest hash, of repeated rows any
+    one). Rows without words have no component and all stay. Columns of ``docs`` must not start with ``__``."""
+    rows = _grouped(docs, percent)
     stay = (rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .groupBy("root", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
             .agg(F.count(F.lit(1)).alias("__n"), F.max("n_shingles").alias("__size")))

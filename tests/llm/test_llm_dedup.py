@@ -21,7 +21,7 @@ def shingle_set(text):
     return frozenset(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """component_id of every row, from all pairs that share a shingle."""
     sets = [shingle_set(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -37,7 +37,7 @@ def brute(rows):
             holders[g].add(i)
     for i, s in enumerate(sets):
         for j in {j for g in s for j in holders[g] if j > i}:
-            if 100 * len(s & sets[j]) >= 85 * len(s | sets[j]):
+            if 100 * len(s & sets[j]) >= percent * len(s | sets[j]):
                 a, b = root(i), root(j)
                 parent[max(a, b)] = min(a, b)
     names = defaultdict(list)
@@ -147,3 +147,26 @@ def test_signatures_do_not_depend_on_the_batch():
     for i, s in enumerate(sets):
         assert (D.super_minhash([s])[0] == together[i]).all()
     assert (together != np.iinfo(np.uint32).max).all()
+
+
+@pytest.mark.parametrize("percent", [80, 85, 95])
+def test_the_limit_is_a_parameter(spark, percent):
+    rnd = random.Random(percent)
+    base = [[f"w{rnd.randrange(900)}" for _ in range(60)] for _ in range(12)]
+    rows = [(0, "alone and quite another text")]
+    for b in base:
+        for _ in range(6):
+            words = list(b)
+            for _ in range(rnd.randrange(4)):
+                words[rnd.randrange(len(words))] = f"x{rnd.randrange(9999)}"
+            rows.append((len(rows), " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in D.near_duplicates(df, percent).collect())
+    assert got == sorted(brute(rows, percent))
+    assert sorted(r.doc_id for r in D.drop_near_duplicates(df, percent).collect()) == sorted(
+        d for d, _, c in brute(rows, percent) if d == c)
+
+
+def test_limits_that_the_bands_would_miss_are_refused(spark):
+    with pytest.raises(ValueError, match="80"):
+        D.near_duplicates(spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string"), 79)

@@ -149,8 +149,43 @@ def test_pipeline_stages(spark):
             assert now == kept
         if name == "MinHash near-dedup":
             from test_llm_dedup import brute as groups
-            assert now == {d for d, _, c in groups([(r.doc_id, r.text) for r in before.collect()]) if d == c}
+            assert now == {d for d, _, c in groups([(r.doc_id, r.text) for r in before.collect()], P.NEAR_PERCENT) if d == c}
         ids = now
     assert docs.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     whole = P.run(spark, SMALL).select("doc_id", "n_tokens", "ids_sha256")
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, docs.select("doc_id", "n_tokens", "ids_sha256").collect()))
+
+
+def pipeline_folder(spark, path, docs, labels):
+    docs.write.parquet(f"{path}/documents.parquet")
+    labels.write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_pipeline_with_odd_rows(spark, tmp_path):
+    """Null and empty texts, repeated rows, null and repeated ids, clashing column names."""
+    import corpus_pipeline as P
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    odd = [(None, None), (900_001, None), (900_002, ""), (900_003, " \n\t "), (None, "a short one"), (900_004, "x"),
+           (900_005, "word " * 30_000)]
+    odd = spark.createDataFrame(odd, "doc_id long, text string").join(docs.drop("doc_id", "text").limit(1))
+    odd = odd.withColumn("source", F.lit(None).cast("string")).select(docs.columns)
+    docs = docs.unionByName(odd).unionByName(docs.where("doc_id < 40"))          # a fifth come twice
+    again = docs.where("doc_id = 41").withColumn("doc_id", F.lit(42).cast("long"))  # one id, two texts
+    docs = docs.unionByName(again)
+    clash = docs.selectExpr("*", "'a' AS score", "1 AS n", "'k' AS key", "2 AS fp", "'r' AS root", "3 AS ids", "4 AS size")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    out = P.run(spark, pipeline_folder(spark, tmp_path / "clash", clash, labels)).collect()
+    plain = P.run(spark, pipeline_folder(spark, tmp_path / "plain", docs, labels)).collect()
+    told = lambda rows: sorted((str(r["doc_id"]), r["n_tokens"], r["ids_sha256"]) for r in rows)
+    assert told(out) == told(plain) and len(out) > 50
+    rejected = {900_001, 900_002, 900_003, 900_004, 900_005}
+    assert not {r["doc_id"] for r in out} & rejected
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline as P
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").limit(0)
+    assert P.run(spark, pipeline_folder(spark, tmp_path, docs, labels)).count() == 0
