@@ -116,12 +116,12 @@ def presence(reviews: DataFrame) -> DataFrame:
         (F.col("has_comment") / F.col("n_reviews") * 100).alias("comment_pct"))
 
 
-def reviews_with_orders(m: Market, texts: bool = False) -> DataFrame:
-    """JN-09 + PRJ-04/05: reviews (with their texts on request) with their order's timestamps,
-    floored delay, status and days to review."""
+def reviews_with_orders(m: Market) -> DataFrame:
+    """JN-09 + PRJ-04/05: reviews (without their texts) with their order's timestamps, floored delay,
+    status and days to review."""
     o = m.orders.select("order_id", "order_purchase_timestamp", "order_delivered_customer_date",
                         "order_estimated_delivery_date", "customer_id")
-    r = (m.reviews if texts else m.review_scores).join(o, "order_id", "left")
+    r = m.review_scores.join(o, "order_id", "left")
     delay = t.floor_days("order_delivered_customer_date", "order_estimated_delivery_date")
     status = (F.when(F.col("order_delivered_customer_date").isNull(), "Not Delivered")
               .when(delay > 0, "Late").otherwise("On Time"))

@@ -7,9 +7,11 @@ map-side combining, so a very frequent word is pre-aggregated in every task; top
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -49,9 +51,9 @@ PAIN_POINTS = [
 ]
 
 
-def commented_by_sentiment(rwo: DataFrame) -> DataFrame:
+def commented_by_sentiment(reviews: DataFrame) -> DataFrame:
     """FLT-05: bad (score <= 2) and good (score >= 4) reviews that carry a comment."""
-    c = rwo.where(F.col("review_comment_message").isNotNull())
+    c = reviews.where(F.col("review_comment_message").isNotNull())
     subset = (F.when(F.col("review_score") <= BAD_MAX_SCORE, "bad")
               .when(F.col("review_score") >= GOOD_MIN_SCORE, "good"))
     return c.select("*", subset.alias("subset")).where(F.col("subset").isNotNull())
@@ -112,6 +114,16 @@ def top_context(counts: DataFrame, targets: Sequence[str] = CONTEXT_TARGETS,
     return out.select("target", "context_word", "count")
 
 
+def holds(text: Column, pattern: str) -> Column:
+    """Whether ``text`` matches a pattern: literal alternatives are searched as substrings, anything else
+    as a regular expression."""
+    parts = pattern.split("|")
+    if any(not p or re.escape(p).replace("\\ ", " ") != p for p in parts):
+        return text.rlike(pattern)
+    found = [text.contains(p) for p in parts]
+    return reduce(lambda a, b: a | b, found)
+
+
 def phrase_counts(bad: DataFrame, counts: DataFrame,
                   patterns: Mapping[str, Mapping[str, str]] = PHRASE_PATTERNS,
                   denominators: Mapping[str, str] = PHRASE_DENOMINATOR) -> DataFrame:
@@ -119,7 +131,7 @@ def phrase_counts(bad: DataFrame, counts: DataFrame,
     for all patterns), with the share of the group's word mentions where one is defined."""
     items = [(g, n, p) for g, d in patterns.items() for n, p in d.items()]
     low = bad.select(F.lower(F.col("review_comment_message")).alias("m"))  # lower-cased once
-    row = low.agg(*[F.count_if(F.col("m").rlike(p)).alias(f"p{i}") for i, (_, _, p) in enumerate(items)])
+    row = low.agg(*[F.count_if(holds(F.col("m"), p)).alias(f"p{i}") for i, (_, _, p) in enumerate(items)])
     body = ", ".join(f"'{g}', '{n}', '{p}', p{i}" for i, (g, n, p) in enumerate(items))
     long = row.selectExpr(f"stack({len(items)}, {body}) AS (pattern_group, name, pattern, n_reviews)")
     denom = (counts.where((F.col("subset") == "bad") & F.col("word").isin(*denominators.values()))

@@ -6,16 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import reports as rp
 from ..operators import review_text as rt
 from .catalog import finalize, market, query, shared
 from .q_reports import EDA_CTES
 
 
 def sentiment_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rwo = rp.reviews_with_orders(market(spark, sf_dir), texts=True).select(
-        "review_id", "review_score", "review_comment_message", "order_delivered_customer_date")
-    return rt.review_tokens(rt.commented_by_sentiment(rwo))
+    # no column of the orders is read, so the texts are not moved to meet them
+    reviews = market(spark, sf_dir).reviews.select("review_id", "review_score", "review_comment_message")
+    return rt.review_tokens(rt.commented_by_sentiment(reviews))
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
