@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features as fe
+from ..session import scratch_path
+from ..sources.market_csv import load_market_csv
 from ..sources.tables import ROLE_TABLES
 from ..functions import timeops as t
-from .catalog import days_sql, finalize, market, query, shared, ts_sql
+from .catalog import days_sql, finalize, folder_tag, market, query, shared, ts_sql
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,6 +127,36 @@ def src_01(spark, sf_dir):
     return finalize(_profile(market(spark, sf_dir)).drop("n_columns"))
 
 
+@query("src_01_csv", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS n_rows, " + (
+        "count(review_comment_message) AS n_texts, CAST(sum(length(review_comment_message)) AS BIGINT) AS text_chars"
+        if n == "reviews" else "CAST(0 AS BIGINT) AS n_texts, CAST(0 AS BIGINT) AS text_chars") + f" FROM v_{n}"
+    for n in ROLE_TABLES))
+def src_01_csv(spark, sf_dir):
+    """SRC-01: the nine tables written as CSV files (comments with their line breaks and quotes) and
+    loaded again; row counts, and the comments' number and characters."""
+    folder = scratch_path(spark, f"{folder_tag(sf_dir)}/csv")
+    m = market(spark, sf_dir)
+    for n in ROLE_TABLES:
+        table = getattr(m, n)
+        table = table.select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if k.startswith("timestamp") else F.col(c)
+                               for c, k in table.dtypes])
+        table.write.mode("overwrite").csv(f"{folder}/{n}", header=True, escape='"', ignoreLeadingWhiteSpace=False,
+                                          ignoreTrailingWhiteSpace=False)
+    back = load_market_csv(spark, folder, {n: n for n in ROLE_TABLES})
+    zero = F.lit(0).cast("long")
+    frames = []
+    for n in ROLE_TABLES:
+        text = "review_comment_message" if n == "reviews" else None
+        frames.append(getattr(back, n).agg(
+            F.count(F.lit(1)).alias("n_rows"), (F.count(text) if text else F.max(zero)).alias("n_texts"),
+            (F.sum(F.length(text)) if text else F.max(zero)).alias("text_chars")).select(F.lit(n).alias("table_name"), "*"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return finalize(out)
+
+
 @query("src_04", " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS n_rows, CAST({c} AS BIGINT) AS n_columns FROM v_{n}"
     for n, c in zip(ROLE_TABLES, (8, 7, 6, 2, 3, 3, 3, 5, 7))))
