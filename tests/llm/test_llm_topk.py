@@ -13,17 +13,16 @@ def frame(spark, rows):
 
 
 def brute(rows, k, every):
-    best = {}
+    good = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        w = [math.floor(256 * float(np.float32(x))) for x in v]
-        best[i] = max(best.get(i, w), w)
+        good.append((i, [math.floor(256 * float(np.float32(x))) for x in v]))
     out = []
-    for q, a in best.items():
+    for n, (q, a) in enumerate(good):
         if q % every:
             continue
-        scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in best.items() if i != q)
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for m, (i, b) in enumerate(good) if m != n)
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -40,6 +39,7 @@ def test_equals_brute_force_with_ties_and_a_hot_vector(spark):
     x[200:400] = x[7]                                   # a third of all rows are one vector
     rows = [(int(i), [float(y) for y in v]) for i, v in enumerate(x)]
     rows += rows[:50]                                   # repeated rows
+    rows += [(100, rows[9][1]), (100, rows[10][1]), (60, rows[11][1])]       # repeated ids with other vectors
     rows += [(-50, rows[3][1]), (None, rows[3][1]), (9001, None), (9002, [None] * 16),
              (9003, [float("nan")] * 16), (9004, [float("inf")] * 16), (9050, [0.5]), (9100, [])]
     assert run(spark, rows) == brute(rows, 5, 50)
