@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 # Directions of the centred Gram matrix below this share of the largest carry no information.
 RANK_TOLERANCE = 1e-10
-LASSO_GAP, LASSO_SWEEPS = 1e-6, 100_000
+LASSO_GAP, LASSO_SWEEPS = 1e-6, 1000
 
 
 def gram_partials(encoded: DataFrame, label: str) -> DataFrame:
@@ -72,7 +72,7 @@ def ridge(xx: np.ndarray, xy: np.ndarray, alpha: float) -> np.ndarray:
 
 def lasso(xx: np.ndarray, xy: np.ndarray, yy: float, n: float, alpha: float) -> np.ndarray:
     """Coordinate descent on 1/(2n) |y - Xw|^2 + alpha |w|_1 until the duality gap is below
-    LASSO_GAP of the target's sum of squares."""
+    LASSO_GAP of the target's sum of squares, or after LASSO_SWEEPS rounds (the reference's limit)."""
     w, limit = np.zeros(len(xy)), alpha * n
     left = xy.copy()                                     # X'(y - Xw)
     for sweep in range(LASSO_SWEEPS):
