@@ -6,10 +6,16 @@ over hashed features of the history: the word before, the word two before (skip)
 together (n-gram). The last is the add-one share of the word among its bucket's training
 tokens, from exact counts over all training documents.
 
-Training is distributed: in every round each trainer walks its share of the documents, takes
-gradient steps from the common weights, and the changes are averaged by tokens; what reaches the
-driver is one set of weights, whatever the input. Scoring runs in numpy over slices of
-documents, gathering only the weight rows that the features hit.
+The model grows with the counted vocabulary of V words: classes and members are its fifth root
+each, three quarters of the buckets are words of their own, and the feature rows double until
+there is a weight for every word. So the weights that travel take 4 to 8 bytes a distinct word.
+
+Training is distributed: shares of the documents are fixed by a hash and by the number of
+tokens, not by the cluster. In every round each share is walked by one task in a fixed order, which takes
+gradient steps from the common weights; a feature row's changes are averaged over the shares that
+met it, weighted by how often. A share grows with the weights, so the changes written stay a
+few bytes a token. Scoring runs in numpy over slices of documents, gathering only the weight
+rows that the features hit.
 
 Counts: the most frequent words, at most HEAD, travel to the tasks; a document's other words are
 joined with the full count table, so every word is looked up exactly."""
@@ -29,17 +35,15 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, documents, stored, whole_text
 
-CLASSES = MEMBERS = 16
-BUCKETS = CLASSES * MEMBERS
-# Buckets that hold one frequent word each; the others share the rest of the vocabulary.
-OWN = 192
-ROWS_LOG2 = 12
-ROWS = 1 << ROWS_LOG2
+# The least numbers of classes (and members of each) and of feature rows.
+CLASSES = 16
+ROWS = 1 << 12
 HEAD = 200_000
 ROUNDS = 2
 RATE = 0.15
-# Tokens of a slice; weights of one shipped block; partial averages before the last.
+# Tokens of a slice, and the least of a share; weights of one shipped block; partial averages before the last.
 SLICE = 60_000
+SHARE = 8_000_000
 BLOCK = 1 << 16
 FAN_IN = 32
 END = b""
@@ -70,32 +74,53 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def bucket_of(own: dict[bytes, int], word: bytes) -> int:
-    got = own.get(word)
-    return OWN + zlib.crc32(word) % (BUCKETS - OWN) if got is None else got
+@dataclass
+class Shape:
+    """Classes, members of each class, and feature rows."""
+    classes: int
+    rows: int
+
+    @classmethod
+    def of(cls, vocabulary: int) -> Shape:
+        """Fifth root of the vocabulary; rows double until every word has a weight."""
+        classes, rows = max(CLASSES, int(np.ceil(vocabulary ** 0.2))), ROWS
+        while rows * classes * (classes + 1) < vocabulary:
+            rows *= 2
+        return cls(classes, rows)
+
+    @property
+    def buckets(self) -> int:
+        return self.classes * self.classes
+
+    @property
+    def own(self) -> int:
+        """Buckets that hold one frequent word each; the others share the rest of the vocabulary."""
+        return self.buckets * 3 // 4
 
+    @property
+    def weights(self) -> int:
+        return self.rows * self.classes * (self.classes + 1)
 
-def spread(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class and member of a bucket: neighbours in frequency go to different classes."""
-    return bucket % CLASSES, bucket // CLASSES
+    def hashed_bucket(self, code):
+        return self.own + code % (self.buckets - self.own)
+
+    def spread(self, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and member of a bucket: neighbours in frequency go to different classes."""
+        return bucket % self.classes, bucket // self.classes
 
 
 @dataclass
 class Weights:
-    """class_w [ROWS, CLASSES], member_w [ROWS * CLASSES, MEMBERS], and their biases."""
+    """class_w [rows, classes], member_w [rows * classes, members], and their biases."""
     class_b: np.ndarray
     member_b: np.ndarray
     class_w: np.ndarray
     member_w: np.ndarray
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([self.class_w.ravel(), self.member_w.ravel()])
-
     def moved(self, change: np.ndarray) -> Weights:
-        cut = self.class_w.size
-        return Weights(self.class_b, self.member_b,
-                       self.class_w + change[:cut].reshape(self.class_w.shape).astype(np.float32),
-                       self.member_w + change[cut:].reshape(self.member_w.shape).astype(np.float32))
+        cut = len(self.class_b)
+        return Weights(self.class_b, self.member_b, self.class_w + change[:, :cut],
+                       self.member_w + change[:, cut:].reshape(self.member_w.shape))
 
     def copy(self) -> Weights:
         return Weights(self.class_b, self.member_b, self.class_w.copy(), self.member_w.copy())
@@ -108,19 +133,21 @@ class Lexicon:
     log_count: np.ndarray      # log10(c + 1)
     bucket: np.ndarray
     hashed: np.ndarray
-    own: dict[bytes, int]
+    shape: Shape
     bucket_tokens: np.ndarray
     bucket_words: np.ndarray
 
 
 def start_weights(lexicon: Lexicon) -> Weights:
     """No feature weights; biases give the bucket frequencies (add one)."""
-    share = np.zeros((CLASSES, MEMBERS))
-    k, m = spread(np.arange(BUCKETS))
+    shape = lexicon.shape
+    share = np.zeros((shape.classes, shape.classes))
+    k, m = shape.spread(np.arange(shape.buckets))
     share[k, m] = lexicon.bucket_tokens + 1
     return Weights(np.log(share.sum(1) / share.sum()).astype(np.float32),
                    np.log(share / share.sum(1, keepdims=True)).astype(np.float32),
-                   np.zeros((ROWS, CLASSES), np.float32), np.zeros((ROWS * CLASSES, MEMBERS), np.float32))
+                   np.zeros((shape.rows, shape.classes), np.float32),
+                   np.zeros((shape.rows * shape.classes, shape.classes), np.float32))
 
 
 def look_up(lexicon: Lexicon, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,18 +159,18 @@ def look_up(lexicon: Lexicon, words: list[bytes]) -> tuple[np.ndarray, np.ndarra
     if len(rare):
         code = np.fromiter([zlib.crc32(words[i]) for i in rare.tolist()], np.uint32, len(rare))
         hashed[rare] = code
-        bucket[rare] = OWN + code % (BUCKETS - OWN)
+        bucket[rare] = lexicon.shape.hashed_bucket(code.astype(np.int64))
     return place, bucket, hashed
 
 
-def features(hashed: np.ndarray, is_end: np.ndarray) -> np.ndarray:
-    """Rows of the hashed features of every token's history, [3, n]. The slice starts with a
+def features(hashed: np.ndarray, is_end: np.ndarray, rows: int) -> np.ndarray:
+    """Rows (of ``rows``, a power of two) of the hashed features of every token's history, [3, n]. The slice starts with a
     document; an end token stands before its first word, and nothing before that is seen."""
     end = np.uint32(zlib.crc32(END))
     one = np.concatenate([[end], hashed[:-1]]).astype(np.uint32)
     first = np.concatenate([[True], is_end[:-1]])
     two = np.where(first, end, np.concatenate([[end], one[:-1]])).astype(np.uint32)
-    shift = np.uint32(32 - ROWS_LOG2)
+    shift = np.uint32(33 - rows.bit_length())
     a, b = one * np.uint32(2654435761), two * np.uint32(2246822519)
     return np.stack([a >> shift, (b + np.uint32(374761393)) * np.uint32(3266489917) >> shift,
                      (a ^ (b >> np.uint32(7))) * np.uint32(668265263) >> shift]).astype(np.int64)
@@ -158,17 +185,20 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 
 def forward(w: Weights, rows: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """P(class | h) and P(member | class k, h) of every token."""
-    classes = softmax(w.class_b + sum(w.class_w[r] for r in rows))
-    members = softmax(w.member_b[k] + sum(w.member_w[r * CLASSES + k] for r in rows))
-    return classes, members
-
-
-def step(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
-    """One adaptive gradient step on the rows that the slice's features hit."""
-    order = np.argsort(rows, kind="stable")
-    hit, starts = np.unique(rows[order], return_index=True)
-    total = np.add.reduceat(slope[order], starts, axis=0)
-    squares[hit] += (total * total).mean(axis=1)
+    classes, members = np.take(w.class_b[None], np.zeros_like(k), axis=0), np.take(w.member_b, k, axis=0)
+    for r in rows:
+        classes += np.take(w.class_w, r, axis=0)
+        members += np.take(w.member_w, r * len(w.class_b) + k, axis=0)
+    return softmax(classes), softmax(members)
+
+
+def step(table: np.ndarray, squares: np.ndarray, keys: np.ndarray, slope: np.ndarray) -> None:
+    """One adaptive gradient step on the rows of ``table`` that the slice hits: ``keys``, ascending,
+    of every token, with its slope."""
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    hit = keys[starts]
+    total = np.add.reduceat(slope, starts, axis=0)
+    squares[hit] += np.einsum("ij,ij->i", total, total) / total.shape[1]
     table[hit] -= RATE * total / np.sqrt(squares[hit] + 1e-6)[:, None]
 
 
@@ -177,9 +207,13 @@ def learn(w: Weights, squares: tuple[np.ndarray, np.ndarray], rows: np.ndarray,
     at = np.arange(len(k))
     classes[at, k] -= 1
     members[at, m] -= 1
+    places = len(k).bit_length()
     for r in rows:
-        step(w.class_w, squares[0], r, classes)
-        step(w.member_w, squares[1], r * CLASSES + k, members)
+        # row and class with the token's place in one number: sorting it orders both tables
+        packed = np.sort((r * len(w.class_b) + k) << places | at)
+        order, keys = packed & ((1 << places) - 1), packed >> places
+        step(w.class_w, squares[0], keys // len(w.class_b), np.take(classes, order, axis=0))
+        step(w.member_w, squares[1], keys, np.take(members, order, axis=0))
 
 
 def slices(texts: Iterator[str | None], most: int = SLICE) -> Iterator[tuple[list[bytes], list[int]]]:
@@ -196,41 +230,73 @@ def slices(texts: Iterator[str | None], most: int = SLICE) -> Iterator[tuple[lis
         yield words, sizes
 
 
-def train(texts: DataFrame, lexicon_sent, weights: Weights, trainers: int, rounds: int = ROUNDS) -> Weights:
-    """Distributed training on all ``texts`` (column text), a share of the documents per round."""
+def train(texts: DataFrame, lexicon_sent, weights: Weights, n_tokens: int, rounds: int = ROUNDS,
+          share: int = SHARE) -> Weights:
+    """Distributed training on all ``texts`` (doc_id, text) of ``n_tokens`` tokens, a part of the
+    documents per round. A share holds ``share`` tokens or more, and at least two a weight."""
     spark = texts.sparkSession
+    shape = lexicon_sent.value.shape
+    share = max(share, 2 * shape.weights)
+    shares = max(1, -(-n_tokens // (rounds * share)))
+    width = shape.classes * (shape.classes + 1)
+    step_rows = max(1, BLOCK // width)
+    code = F.xxhash64("doc_id", "text")
+    slot = F.pmod(code, F.lit(rounds * shares))
+    schema = "block long, share long, met binary, change binary"
+
+    def add(p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("share")      # one order of addition whatever the cluster
+        met = sum(np.frombuffer(x, "<i8") for x in p["met"])
+        change = sum(np.frombuffer(x, "<f4").astype(np.float64) for x in p["change"])
+        return pd.DataFrame({"block": p["block"].iloc[:1], "share": p["share"].min(), "met": [met.tobytes()],
+                             "change": [change.astype("<f4").tobytes()]})
+
     for n in range(rounds):
         sent = spark.sparkContext.broadcast(weights)
 
-        def walk(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            lexicon, first = lexicon_sent.value, sent.value
-            w, squares = first.copy(), (np.zeros(ROWS, np.float32), np.zeros(ROWS * CLASSES, np.float32))
-            seen = 0
-            for words, sizes in slices(t for b in batches for t in b["text"]):
+        def walk(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            lexicon, first, mine = lexicon_sent.value, sent.value, 0
+            w = first.copy()
+            squares = np.zeros(len(w.class_w), np.float32), np.zeros(len(w.member_w), np.float32)
+            met = np.zeros(shape.rows, np.int64)
+
+            def texts_of(batches):
+                nonlocal mine
+                for b in batches:
+                    if b.num_rows:
+                        mine = b.column("share")[0].as_py()
+                    yield from b.column("text").to_pylist()
+
+            for words, sizes in slices(texts_of(batches)):
                 _, bucket, hashed = look_up(lexicon, words)
                 is_end = np.zeros(len(words), bool)
                 is_end[np.cumsum(sizes) - 1] = True
-                learn(w, squares, features(hashed, is_end), *spread(bucket))
-                seen += len(words)
-            if seen:
-                change = (w.flat() - first.flat()).astype(np.float64) * seen
-                for i in range(0, len(change), BLOCK):
-                    yield pd.DataFrame({"block": [i // BLOCK], "seen": [seen],
-                                        "change": [change[i:i + BLOCK].astype("<f4").tobytes()]})
-
-        def add(p: pd.DataFrame) -> pd.DataFrame:
-            total = sum(np.frombuffer(x, "<f4").astype(np.float64) for x in p["change"])
-            return pd.DataFrame({"block": p["block"].iloc[:1], "seen": [p["seen"].sum()],
-                                 "change": [total.astype("<f4").tobytes()]})
-
-        schema = "block long, seen long, change binary"
-        share = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == n).select("text")
-        parts = share.coalesce(trainers).mapInPandas(walk, schema).withColumn("part", F.spark_partition_id() % FAN_IN)
+                rows, (k, m) = features(hashed, is_end, shape.rows), shape.spread(bucket)
+                for i in range(0, len(words), SLICE):       # a long document alone can exceed a slice
+                    part = slice(i, i + SLICE)
+                    learn(w, squares, rows[:, part], k[part], m[part])
+                met += np.bincount(rows.ravel(), minlength=shape.rows)
+            if met.any():
+                for i in range(0, shape.rows, step_rows):
+                    of = slice(i, i + step_rows)
+                    wide = slice(i * shape.classes, (i + step_rows) * shape.classes)
+                    change = np.hstack([w.class_w[of] - first.class_w[of],
+                                        (w.member_w[wide] - first.member_w[wide]).reshape(-1, shape.buckets)])
+                    yield pa.RecordBatch.from_pydict({
+                        "block": [i // step_rows], "share": [mine], "met": [met[of].astype("<i8").tobytes()],
+                        "change": [(change * met[of, None]).astype("<f4").tobytes()]})
+
+        dealt = (texts.where(slot % rounds == n)
+                 .select("doc_id", "text", code.alias("code"), F.floor(slot / rounds).cast("long").alias("share"))
+                 .repartitionById(shares, F.col("share").cast("int")).sortWithinPartitions("code", "doc_id"))
+        parts = dealt.select("share", "text").mapInArrow(walk, schema).withColumn("part", F.col("share") % FAN_IN)
         parts = parts.groupBy("block", "part").applyInPandas(add, schema)
         rows = parts.groupBy("block").applyInPandas(add, schema).orderBy("block").collect()
         if rows:
-            change = np.concatenate([np.frombuffer(r["change"], "<f4") for r in rows]) / rows[0]["seen"]
-            weights = weights.moved(change)
+            met = np.concatenate([np.frombuffer(r["met"], "<i8") for r in rows])
+            change = np.concatenate([np.frombuffer(r["change"], "<f4") for r in rows]).reshape(shape.rows, width)
+            weights = weights.moved(change / np.maximum(met, 1).astype(np.float32)[:, None])
+        sent.unpersist()
     return weights
 
 
@@ -253,26 +319,43 @@ def head_words(counts: DataFrame, size: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
-def lexicon_of(counts: DataFrame, head_size: int) -> Lexicon:
-    """The head (at most ``head_size`` words) and the bucket totals (BUCKETS rows) of all counts."""
+def lexicon_of(counts: DataFrame, vocabulary: int, head_size: int) -> Lexicon:
+    """The head (at most ``head_size`` words) and the bucket totals (a row a bucket) of all counts."""
+    shape = Shape.of(vocabulary)
     top = head_words(counts, head_size)
     words = [w for w, _ in top]
-    own = {w: i for i, w in enumerate(words[:OWN])}
-    named = F.create_map(*[x for w, i in own.items() for x in (F.lit(w), F.lit(i))]) if own else None
-    hashed = F.crc32("word") % (BUCKETS - OWN) + OWN
-    bucket = F.coalesce(F.try_element_at(named, F.col("word")), hashed) if own else hashed
-    per = counts.groupBy(bucket.alias("bucket")).agg(F.sum("c").alias("c"), F.count("c").alias("n")).collect()
-    tokens_, words_ = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    per = counts.groupBy((F.crc32("word") % (shape.buckets - shape.own)).cast("int").alias("rest")).agg(
+        F.sum("c").alias("c"), F.count("c").alias("n")).collect()
+    tokens_, words_ = np.zeros(shape.buckets), np.zeros(shape.buckets)
     for r in per:
-        tokens_[r["bucket"]], words_[r["bucket"]] = r["c"], r["n"]
+        tokens_[shape.own + r["rest"]], words_[shape.own + r["rest"]] = r["c"], r["n"]
+    bucket = np.array([shape.hashed_bucket(zlib.crc32(w)) for w in words] + [0])
+    # frequent words leave the bucket of their hash for their own
+    for i, (_, c) in enumerate(top[:shape.own]):
+        tokens_[bucket[i]] -= c
+        words_[bucket[i]] -= 1
+        tokens_[i], words_[i], bucket[i] = c, 1, i
     # one more entry, for the place -1
     return Lexicon({w: i for i, w in enumerate(words)},
                    np.append(np.log10(np.array([c for _, c in top], float) + 1), 0.0),
-                   np.array([bucket_of(own, w) for w in words] + [0]),
-                   np.array([zlib.crc32(w) for w in words] + [0], np.uint32), own, tokens_, words_)
+                   bucket, np.array([zlib.crc32(w) for w in words] + [0], np.uint32), shape, tokens_, words_)
 
 
-def score_documents(docs: DataFrame, head_size: int = HEAD) -> DataFrame:
+def bucket_logs(lexicon: Lexicon, w: Weights, bucket: np.ndarray, hashed: np.ndarray, is_end: np.ndarray) -> np.ndarray:
+    """log10 P(bucket | history) of every token, SLICE tokens at a time: a long document alone can
+    exceed a slice."""
+    k, m = lexicon.shape.spread(bucket)
+    rows, logs = features(hashed, is_end, lexicon.shape.rows), np.empty(len(k))
+    for i in range(0, len(k), SLICE):
+        part = slice(i, i + SLICE)
+        classes, members = forward(w, rows[:, part], k[part])
+        j = np.arange(len(classes))
+        logs[part] = (np.log10(np.maximum(classes[j, k[part]], 1e-30).astype(float))
+                      + np.log10(np.maximum(members[j, m[part]], 1e-30).astype(float)))
+    return logs
+
+
+def score_documents(docs: DataFrame, head_size: int = HEAD, share: int = SHARE) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns ignored): doc_id, held_out,
     n_tokens, n_known, train_tokens, base_score (add-one unigram) and score (the model), both
     log10 of the whole text's probability.
@@ -286,9 +369,9 @@ def score_documents(docs: DataFrame, head_size: int = HEAD) -> DataFrame:
     counts = checkpointed(word_counts(training))
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("c").alias("v")).first()
     n, v = int(sums["n"]), int(sums["v"])
-    lexicon = lexicon_of(counts, head_size)
+    lexicon = lexicon_of(counts, v, head_size)
     lexicon_sent = spark.sparkContext.broadcast(lexicon)
-    weights = train(training, lexicon_sent, start_weights(lexicon), max(2, spark.sparkContext.defaultParallelism))
+    weights = train(training, lexicon_sent, start_weights(lexicon), n, share=share)
     sent = spark.sparkContext.broadcast(weights)
     in_bucket = np.log10(lexicon.bucket_tokens + lexicon.bucket_words + 1)
 
@@ -296,21 +379,13 @@ def score_documents(docs: DataFrame, head_size: int = HEAD) -> DataFrame:
         lexicon, w = lexicon_sent.value, sent.value
         for b in batches:
             at = 0
-            for words, sizes in slices(t.as_py() for t in b.column("text")):
+            for words, sizes in slices(b.column("text").to_pylist()):
                 ends = np.cumsum(sizes)
                 starts = ends - sizes
                 place, bucket, hashed = look_up(lexicon, words)
                 is_end = np.zeros(len(words), bool)
                 is_end[ends - 1] = True
-                k, m = spread(bucket)
-                logs = np.empty(len(words))
-                rows = features(hashed, is_end)
-                for i in range(0, len(words), SLICE):       # a long document alone can exceed a slice
-                    part = slice(i, i + SLICE)
-                    classes, members = forward(w, rows[:, part], k[part])
-                    j = np.arange(len(classes))
-                    logs[part] = (np.log10(np.maximum(classes[j, k[part]], 1e-30).astype(float))
-                                  + np.log10(np.maximum(members[j, m[part]], 1e-30).astype(float)))
+                logs = bucket_logs(lexicon, w, bucket, hashed, is_end)
                 logs -= in_bucket[bucket]
                 rare = [Counter(words[i] for i in (np.flatnonzero(place[s:e] < 0) + s).tolist())
                         for s, e in zip(starts.tolist(), ends.tolist())]

@@ -80,6 +80,66 @@ def test_lm_beats_its_base_on_held_out_text(spark):
     assert rows["sum(score)"] > rows["sum(base_score)"]
 
 
+def test_lm_score_by_plain_loops(spark):
+    """The model's probability of every token from the definition, one token at a time."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.5, n) if x < 2_000) for n in (0, 1, 5, 300, 900)] + [None, "zz zz new"]
+    docs = frame(spark, list(enumerate(texts)))
+    rows = docs.select("doc_id", "text", L.held_out().alias("out")).collect()
+    counts = Counter(w for r in rows if not r.out for w in L.tokens(r.text))
+    table = spark.createDataFrame([(bytearray(w), c) for w, c in counts.items()], "word binary, c long")
+    lexicon = L.lexicon_of(table, len(counts), 50)
+    texts_in = docs.where(~L.held_out()).select("doc_id", L.whole_text().alias("text"))
+    w = L.train(texts_in, spark.sparkContext.broadcast(lexicon), L.start_weights(lexicon), sum(counts.values()))
+    shape = lexicon.shape
+
+    def bucket(x):
+        i = lexicon.head.get(x, shape.own)      # own words are the first of the head
+        return i if i < shape.own else shape.own + zlib.crc32(x) % (shape.buckets - shape.own)
+
+    of_bucket = Counter()
+    for x, c in counts.items():
+        of_bucket[bucket(x)] += c + 1
+    got = {r.doc_id: r.score for r in L.score_documents(docs, head_size=50).collect()}
+    for r in rows:
+        want, words = 0.0, L.tokens(r.text)
+        hashes = np.array([zlib.crc32(x) for x in words], np.uint32)
+        feature = L.features(hashes, np.arange(len(words)) == len(words) - 1, shape.rows)
+        for i, x in enumerate(words):
+            k, m = bucket(x) % shape.classes, bucket(x) // shape.classes
+            top = [float(w.class_b[c]) + sum(float(w.class_w[f[i], c]) for f in feature) for c in range(shape.classes)]
+            low = [float(w.member_b[k, j]) + sum(float(w.member_w[f[i] * shape.classes + k, j]) for f in feature)
+                   for j in range(shape.classes)]
+            for at, logits in ((k, top), (m, low)):
+                want += math.log10(math.exp(logits[at]) / sum(map(math.exp, logits)))
+            want += math.log10(counts[x] + 1) - math.log10(of_bucket[bucket(x)] + 1)
+        assert got[r.doc_id] == pytest.approx(want, rel=1e-4, abs=1e-3), r.doc_id
+
+
+def test_lm_does_not_depend_on_the_layout(spark, monkeypatch):
+    """The same rows in other partitions and another order score the same, over several shares."""
+    monkeypatch.setattr(L.Shape, "weights", property(lambda self: 0))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    runs = [{r.doc_id: r.score for r in L.score_documents(d, share=5_000).collect()}
+            for d in (docs.coalesce(1), docs.repartition(7, "text").orderBy("doc_id", ascending=False))]
+    assert runs[0] == pytest.approx(runs[1], rel=1e-9) and len(runs[0]) == docs.count()
+
+
+def test_lm_shares_are_averaged_over_those_that_met_a_row(spark, monkeypatch):
+    """Several shares a round still beat the base on what they learnt from."""
+    monkeypatch.setattr(L.Shape, "weights", property(lambda self: 0))
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    out = L.score_documents(docs, share=40_000).where("not held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert out["sum(score)"] > out["sum(base_score)"]
+
+
+def test_lm_shape_grows_with_the_vocabulary():
+    shapes = [L.Shape.of(v) for v in (0, 10_000, 1_000_000, 30_000_000, 10**9)]
+    assert (shapes[0].classes, shapes[0].rows) == (16, 4096)
+    assert all(a.weights <= b.weights for a, b in zip(shapes, shapes[1:]))
+    assert all(v <= s.weights <= max(2 * v, shapes[0].weights) for v, s in zip((0, 10_000, 10**6, 3 * 10**7, 10**9), shapes))
+
+
 # --- quality classifier -------------------------------------------------------------------
 def test_quality_accuracy_on_held_out_documents(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}
