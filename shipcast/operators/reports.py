@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import timeops as t
+from ..functions.comoments import pair_correlations
 from ..functions.exprs import bucket, bucket_order, clip_between, half_even
 from ..functions.ordinal import global_running_sum
 from ..functions.quantile import quantiles
@@ -478,18 +479,12 @@ def correlation_frame(m: Market) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLUMNS) -> DataFrame:
-    """AG-43: pairwise-complete Pearson correlation of every pair in one aggregation. Each
-    row is unrolled into one (pair, a, b) row per pair and ``corr`` runs grouped by pair:
-    the buffers stay small enough for whole-stage codegen (66 ungrouped ``corr`` buffers
-    exceed its field limit and run interpreted), the unrolled rows are consumed by the
-    map-side partial aggregate in the same stage, and only one partial row per pair and
-    task is shuffled. Both orders of each pair and the unit diagonal are then emitted."""
+    """AG-43: pairwise-complete Pearson correlation of every pair from masked co-moments: a row
+    is read once, and one row per pair and task is shuffled. Both orders of each pair and the
+    unit diagonal are then emitted; a pair that no row holds is null."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    unrolled = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("a"),
-                 F.col(b).cast("double").alias("b"))
-        for i, (a, b) in enumerate(pairs)])))
-    per_pair = unrolled.groupBy("pair").agg(F.corr("a", "b").alias("corr"))
+    every = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
+    per_pair = every.join(pair_correlations(df, cols), "pair", "left")
     first = F.array(*[F.lit(a) for a, _ in pairs])[F.col("pair")]
     second = F.array(*[F.lit(b) for _, b in pairs])[F.col("pair")]
     both = per_pair.select(F.inline(F.array(
