@@ -3,6 +3,8 @@ SET-01/02, FLT-03)."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,13 +137,24 @@ def ag_17(spark, sf_dir):
     return finalize(rp.orders_without_items(market(spark, sf_dir)))
 
 
-@query("ag_18", f"""SELECT i.order_id, CAST(i.order_item_id AS BIGINT) AS order_item_id, i.product_id, i.seller_id,
+def _orphans_sql(orders="v_orders"):
+    return f"""SELECT i.order_id, CAST(i.order_item_id AS BIGINT) AS order_item_id, i.product_id, i.seller_id,
  round(i.price, 6) AS price, round(i.freight_value, 6) AS freight_value, {ts_sql('i.shipping_limit_date')} AS shipping_limit_date,
- count(*) AS n_rows FROM v_items i ANTI JOIN v_orders o ON i.order_id = o.order_id GROUP BY ALL""")
+ count(*) AS n_rows FROM v_items i ANTI JOIN {orders} o ON i.order_id = o.order_id GROUP BY ALL"""
+
+
+@query("ag_18", _orphans_sql())
 def ag_18(spark, sf_dir):
     return finalize(rp.items_without_orders(market(spark, sf_dir)))
 
 
+@query("ag_18_found", _orphans_sql("(SELECT * FROM v_orders WHERE order_status = 'delivered')"))
+def ag_18_found(spark, sf_dir):
+    """AG-18 against the delivered orders alone, where items without an order occur."""
+    m = market(spark, sf_dir)
+    return finalize(rp.items_without_orders(replace(m, orders=m.orders.where(F.col("order_status") == "delivered"))))
+
+
 @query("ag_19", """SELECT 'all' AS subset, CAST(review_score AS BIGINT) AS review_score, count(*) AS n_reviews,
  round_even(count(*) / (SELECT count(*) FROM v_reviews) * 100, 1) AS pct FROM v_reviews GROUP BY review_score
  UNION ALL SELECT 'commented', CAST(review_score AS BIGINT), count(*),
