@@ -4,30 +4,49 @@ before each partition."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Sequence
+from functools import reduce
+from itertools import accumulate
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def kth_key(df: DataFrame, cols: Sequence[Column | str], k: int) -> tuple:
-    """Values of ``cols`` at 0-based rank k of their ascending lexicographic order."""
+def keys_at(df: DataFrame, cols: Sequence[Column | str], ranks: Callable[[int], Sequence[int]]) -> list[tuple | None]:
+    """Values of ``cols`` at the 0-based ranks of their ascending lexicographic order that ``ranks``
+    names once the number of rows is known, all from one exchange; None where there is no such rank."""
     names = [f"__k{i}" for i in range(len(cols))]
     data = df.select(*[(F.col(c) if isinstance(c, str) else c).alias(nm)
                        for c, nm in zip(cols, names)])
     dealt = (data.repartitionByRange(*names).withColumn("__pid", F.spark_partition_id())
              .checkpoint(eager=True))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = dealt.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
-    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__c").over(before), F.lit(0)))
-    home = sizes.where((F.col("__before") <= k) & (F.lit(k) < F.col("__before") + F.col("__c"))).first()
-    if home is None:
-        raise IndexError(f"no row at rank {k}")
+    # one row per partition
+    sizes = dealt.groupBy("__pid").agg(F.count(F.lit(1)).alias("c")).orderBy("__pid").collect()
+    ends = list(accumulate(r["c"] for r in sizes))
+    wanted = list(ranks(ends[-1] if ends else 0))
+    homes = {}
+    for k in wanted:
+        at = bisect_right(ends, k)
+        if 0 <= k and at < len(ends):
+            homes[k] = sizes[at]["__pid"], k - (ends[at] - sizes[at]["c"]) + 1
+    if not homes:
+        return [None] * len(wanted)
     rank = F.row_number().over(Window.partitionBy("__pid").orderBy(*names))
-    row = (dealt.where(F.col("__pid") == home["__pid"]).withColumn("__r", rank)
-           .where(F.col("__r") == k - home["__before"] + 1).first())
-    return tuple(row[c] for c in names)
+    rows = (dealt.where(F.col("__pid").isin(*{pid for pid, _ in homes.values()})).withColumn("__r", rank)
+            .where(reduce(or_, [(F.col("__pid") == pid) & (F.col("__r") == r) for pid, r in homes.values()])).collect())
+    found = {(row["__pid"], row["__r"]): tuple(row[c] for c in names) for row in rows}
+    return [found[homes[k]] if k in homes else None for k in wanted]
+
+
+def kth_key(df: DataFrame, cols: Sequence[Column | str], k: int) -> tuple:
+    """Values of ``cols`` at 0-based rank k of their ascending lexicographic order."""
+    key, = keys_at(df, cols, lambda n: [k])
+    if key is None:
+        raise IndexError(f"no row at rank {k}")
+    return key
 
 
 def global_running_sum(df: DataFrame, order: Sequence[Column], value: str) -> DataFrame:

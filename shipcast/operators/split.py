@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions import timeops as t
 from ..functions.grouped import grouped_rolling
-from ..functions.ordinal import kth_key
+from ..functions.ordinal import keys_at
 from ..functions.quantile import quantiles
 from ..functions.scalars import scalars
 from .features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
@@ -34,18 +34,17 @@ def cut_fractions(train_frac: float = 0.70, val_frac: float = 0.15) -> list[floa
 def assign_split(df: DataFrame, fractions: Sequence[float] = (0.70, 0.85),
                  labels: Sequence[str] = ("train", "val", "test")) -> DataFrame:
     """W-06/W-07: label rows by their ordinal position in (timestamp, order_id) order;
-    the i-th cut is at rank floor(n * fractions[i])."""
+    the i-th cut is at rank floor(n * fractions[i]), all cuts from one range exchange."""
     if TS not in df.columns:
         raise ValueError(f"DataFrame must contain '{TS}'")
     key_cols = [F.unix_micros(F.col(TS)), F.col(TIE)]
-    n = df.count()
+    cuts = keys_at(df, key_cols, lambda n: [int(n * f) for f in fractions])
     label = None
-    for frac, lab in zip(fractions, labels):
-        r = int(n * frac)
-        if r >= n:
+    for cut, lab in zip(cuts, labels):
+        if cut is None:     # the cut lies behind the last row
             cond = F.lit(True)
         else:
-            ts_cut, id_cut = kth_key(df, key_cols, r)
+            ts_cut, id_cut = cut
             k_ts = F.unix_micros(F.col(TS))
             cond = (k_ts < F.lit(ts_cut)) | ((k_ts == F.lit(ts_cut)) & (F.col(TIE) < F.lit(id_cut)))
         label = F.when(cond, lab) if label is None else label.when(cond, lab)

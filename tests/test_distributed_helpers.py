@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shipcast.functions.ordinal import global_running_sum, kth_key
+from shipcast.functions.ordinal import global_running_sum, keys_at, kth_key
 from shipcast.functions.quantile import quantiles
 
 
@@ -49,6 +49,12 @@ def test_kth_key_equals_sort(spark, partitions):
         assert kth_key(df, ["a", "b"], k) == tuple(srt.loc[k, ["a", "b"]])
 
 
+def test_several_ranks_from_one_exchange(spark):
+    df = spark.range(0, 1000, 1, 7).selectExpr("pmod(id * 37, 1000) AS a")
+    assert keys_at(df, ["a"], lambda n: [0, n // 2, n - 1, n, 500, -1]) == [(0,), (500,), (999,), None, (500,), None]
+    assert keys_at(df.where("a < 0"), ["a"], lambda n: [int(n * 0.7), n]) == [None, None]
+
+
 def test_global_running_sum(spark):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"id": np.arange(300), "v": rng.integers(0, 5, 300).astype(float)})
