@@ -215,7 +215,8 @@ def notebook_split(features_geo: DataFrame) -> DataFrame:
     out = out.withColumn("num_items_in_order", F.count(F.lit(1)).over(Window.partitionBy("order_id")))
     out = out.withColumn("delivery_time_log", F.log1p("delivery_time_days"))  # PRJ-10
     # rolling features: train rows from their own past, test rows get the seller's last value
-    roll = rolling_seller_stats(out.where(F.col("split") == "train"))
+    # checkpointed: the median, the last values and the result all read the rolling frame
+    roll = rolling_seller_stats(out.where(F.col("split") == "train")).checkpoint(eager=True)
     roll_med = quantiles(roll, "seller_roll_std_delivery", {"m": 0.5}).select("m").scalar()
     roll = roll.withColumns({
         "seller_roll_avg_delivery": F.coalesce("seller_roll_avg_delivery", g_del),
