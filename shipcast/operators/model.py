@@ -21,7 +21,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.quantile import quantiles
+from ..functions.quantile import column_quantiles
 from . import linear, trees
 from .audit import metrics
 from .features import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
@@ -41,7 +41,7 @@ def scales(train: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES) -> list[
     the numerics of ``train``, one row each. A feature without values has 0, 0 and 0."""
     if not numeric:
         return []
-    medians = {c: (0.0 if m is None else m) for c, m in quantiles_row(train, numeric).items()}
+    medians = {c: (0.0 if m is None else m) for c, (m,) in column_quantiles(train, numeric, [0.5]).items()}
     filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(float(medians[c]))) for c in numeric}
     row = train.agg(*[f(x).alias(f"{n}__{c}") for c, x in filled.items()
                       for n, f in (("mean", F.avg), ("std", F.stddev_pop))]).first()
@@ -77,16 +77,6 @@ def fit_preprocessing(train: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURE
     return Pipeline(stages=preprocessing(train, numeric, categorical)).fit(train)
 
 
-def quantiles_row(train: DataFrame, cols: Sequence[str]) -> dict:
-    """Exact train medians of several columns: one grouped quantile over (column, value) rows,
-    one small row per column to the driver."""
-    long = train.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("x")) for c in cols])).alias("s"))
-    rows = quantiles(long.select("s.name", "s.x"), "x", {"m": 0.5}, ["name"]).collect()
-    found = {r["name"]: r["m"] for r in rows}
-    return {c: found.get(c) for c in cols}
-
-
 # fixed values of the reference: penalties of the linear models, depths, and the seed
 RIDGE_ALPHA, LASSO_ALPHA = 1.0, 0.01
 TREE_DEPTH, FOREST_DEPTH = 10, 15

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shipcast.functions.ordinal import global_running_sum, keys_at, kth_key
+from shipcast.functions import quantile as Q
 from shipcast.functions.quantile import quantiles
 
 
@@ -87,3 +88,48 @@ def test_quantiles_of_missing_values(spark):
     got = {r["g"]: r["m"] for r in quantiles(df, "x", {"m": 0.5}, ["g"]).collect()}
     assert got == {1: None, 2: 5.0, None: 7.0}
     assert quantiles(df.where("g = 1"), "x", {"m": 0.5}).first()["m"] is None
+
+
+@pytest.mark.parametrize("last_rows", [0, 10**6])
+def test_radix_selection_equals_pandas(spark, monkeypatch, last_rows):
+    """Both with all three passes and with the short cut to single values."""
+    monkeypatch.setattr(Q, "LAST_ROWS", last_rows)
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=3000) * 10.0 ** rng.integers(-300, 300, 3000), np.full(1500, -2.5), [0.0, -0.0, 5e-324]])
+    pdf = pd.DataFrame({"g": rng.choice(["a", 'q"\\', "é"], len(x), p=[0.8, 0.1, 0.1]), "x": x, "y": np.round(rng.normal(size=len(x)), 1)})
+    pdf.loc[::7, "y"] = np.nan
+    df = spark.createDataFrame(pdf).repartition(5)
+    probs = {"lo": 0.0, "a": 0.013, "m": 0.5, "b": 0.77, "hi": 1.0}
+    got = quantiles(df, "x", probs, ["g"]).toPandas().set_index("g").sort_index()
+    exp = pdf.groupby("g").x.quantile(list(probs.values())).unstack()
+    np.testing.assert_allclose(got[list(probs)].to_numpy(), exp.to_numpy(), rtol=1e-12)
+    found = Q.column_quantiles(df.withColumn("none", F.lit(None)), ["y", "none", "x"], [0.25, 0.5])
+    assert found["none"] == [None, None]
+    for c in ("x", "y"):
+        np.testing.assert_allclose(found[c], pdf[c].quantile([0.25, 0.5]), rtol=1e-12)
+    assert Q.column_quantiles(df.limit(0), ["x"], [0.5]) == {"x": [None]}
+
+
+def test_ordered_bits_keep_the_order():
+    x = np.array([-np.inf, -1e300, -1.0, -5e-324, -0.0, 0.0, 5e-324, 1.0, np.inf])
+    keys = Q.ordered_bits(x)
+    assert (np.diff(keys) >= 0).all() and keys[4] == keys[5]
+    assert [Q.from_ordered_bits(int(k)) for k in keys] == x.tolist()
+
+
+def test_dealt_quantiles_of_many_groups_and_other_keys(spark, monkeypatch):
+    """Beyond the bound of open buckets, and for keys that are not plain values."""
+    pdf, df = _data(spark)
+    exp = pdf.groupby("g").x.quantile(0.3).tolist()
+    monkeypatch.setattr(Q, "OPEN_BUCKETS", 2)
+    assert Q._selected(df.selectExpr("string(g) AS g", "x AS x0"), 1, [0.3]) is None
+    assert [r["q"] for r in quantiles(df, "x", {"q": 0.3}, ["g"]).orderBy("g").collect()] == pytest.approx(exp)
+    got = quantiles(df.selectExpr("double(g) AS g", "x"), "x", {"q": 0.3}, ["g"]).orderBy("g").collect()
+    assert [r["q"] for r in got] == pytest.approx(exp)
+
+
+def test_selection_moves_counts_only(spark):
+    """No value is shuffled and nothing is checkpointed: the plan exchanges counted buckets."""
+    df = spark.range(100).selectExpr("cast(id AS double) AS x", "id AS payload")
+    plan = Q._counted(df.selectExpr("'' AS g", "x AS x0"), 1, 42, None)._jdf.queryExecution().executedPlan().toString()
+    assert "payload" not in plan and "partial_sum" in plan
