@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, whole_text
+from .common import ascii_lower, documents, whole_text
 
 # Fixed values of the scan: words, base phrases and their labels.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -65,8 +65,6 @@ class Template:
 def make_template(label: str, words: str, key: str, base: bool = False) -> Template:
     w, k = tuple(words.split()), tuple(key.split())
     start = next(i for i in range(len(w)) if w[i:i + len(k)] == k)
-    # lower() below folds one non-ASCII letter to ASCII, the Kelvin sign to k
-    assert "k" not in words
     return Template(label, w, start, len(k), base)
 
 
@@ -76,9 +74,8 @@ def default_templates() -> list[Template]:
 
 
 def file_words(text: Column) -> Column:
-    """The words of a text. ``lower`` also folds letters beyond ASCII, which changes neither
-    word boundaries nor any word made of ASCII letters (but for the letter k, see above)."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    """The words of a text, A-Z lower-cased."""
+    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
 
 
 def word_idf(docs: DataFrame, templates: list[Template]) -> dict[str, float]:

@@ -74,3 +74,11 @@ def test_no_python_in_the_plan(spark):
 def test_template(label, words, key, base):
     t = L.make_template(label, words, key, base)
     assert t.key == ("b", "c") and t.key_start == 1
+
+
+def test_template_with_any_letter(spark):
+    """Only A-Z are folded: the Kelvin sign is no k, a capital sharp s no sharp s."""
+    ts = [L.make_template("kit", "kit kept in trunk", "kept in trunk"), L.make_template("eszett", "ma\u00df", "ma\u00df")]
+    texts = ["Kit KEPT in Trunk", "kit \u212aept in trunk", "MA\u1e9e", "Ma\u00df"]
+    got = L.scan(spark.createDataFrame([(i, t, "", 0, "") for i, t in enumerate(texts)], SCHEMA), ts).collect()
+    assert {r.doc_id: [f.label for f in r.found] for r in got} == {0: ["kit"], 1: [], 2: [], 3: ["eszett"]}
