@@ -1,6 +1,7 @@
 """Relational chat formatting (operator 5), with Spark expressions only: collect a
 conversation's turns, sort them, merge adjacent turns of one role into a block, concatenate,
-and read everything back from the formatted string."""
+and read everything back from the formatted string. The work of a conversation grows with its
+turns, but for the copying of one place a chunk of turns."""
 
 from __future__ import annotations
 
@@ -18,6 +19,9 @@ _REST = r"(/?INST\]|/?s>)"
 ESCAPE = (r"([<\[])(\\*)" + _REST, r"$1\\$2$3")
 UNESCAPE = (r"([<\[])\\(\\*)" + _REST, r"$1$2$3")
 LOSS_ROLE = "assistant"
+SPAN = "struct<start:int,chars:int>"
+# Running places are added up in chunks of this many turns, so that no array grows turn by turn.
+CHUNK = 256
 
 
 def escape(text: Column) -> Column:
@@ -41,33 +45,44 @@ def format_conversations(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFr
         "turn", F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text")).alias("t"))
     conv = clean.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    # blocks of adjacent turns of one role; each block holds its escaped texts
-    blocks = F.aggregate(
-        "turns", F.expr("cast(array() as array<struct<role:string,texts:array<string>>>)"),
-        lambda acc, t: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["role"] == t["role"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                t["role"].alias("role"),
-                F.concat(F.element_at(acc, -1)["texts"], F.array(escape(t["text"]))).alias("texts"))))
-        ).otherwise(F.concat(acc, F.array(F.struct(
-            t["role"].alias("role"), F.array(escape(t["text"])).alias("texts"))))))
-    conv = conv.select("conv_id", blocks.alias("blocks"))
+    # where the role changes, and the block of escaped texts from there to the next change
+    role = lambda i: F.get("turns", i)["role"]
+    starts = F.filter(F.sequence(F.lit(0), F.size("turns") - 1), lambda i: (i == 0) | (role(i) != role(i - 1)))
+    conv = conv.select("conv_id", "turns", starts.alias("starts"))
+    conv = conv.select("conv_id", F.transform("starts", lambda s, k: F.struct(
+        escape(role(s)).alias("role"), (role(s) == loss_role).alias("loss"),
+        F.transform(F.sequence(s, F.coalesce(F.get("starts", k + 1), F.size("turns")) - 1),
+                    lambda i: escape(F.get("turns", i)["text"])).alias("texts"))).alias("blocks"))
     formatted = F.array_join(F.transform("blocks", lambda b: F.concat(
-        F.lit(OPEN), escape(b["role"]), F.lit(HEAD), F.array_join(b["texts"], NEXT), F.lit(CLOSE))), "")
-    # every text with the number of characters of markup before it
+        F.lit(OPEN), b["role"], F.lit(HEAD), F.array_join(b["texts"], NEXT), F.lit(CLOSE))), "")
+    # every text with the number of characters of markup before and after it
     pieces = F.flatten(F.transform("blocks", lambda b: F.transform(b["texts"], lambda x, i: F.struct(
-        (b["role"] == loss_role).alias("loss"), F.length(x).alias("chars"),
-        F.when(i == 0, F.length(escape(b["role"])) + len(OPEN + HEAD)).otherwise(len(NEXT)).alias("lead"),
+        b["loss"].alias("loss"), F.length(x).alias("chars"),
+        F.when(i == 0, F.length(b["role"]) + len(OPEN + HEAD)).otherwise(len(NEXT)).alias("lead"),
         F.when(i == F.size(b["texts"]) - 1, len(CLOSE)).otherwise(0).alias("tail")))))
-    spans = F.aggregate(
-        pieces, F.expr("named_struct('at', 0, 'spans', cast(array() as array<struct<start:int,chars:int>>))"),
+    conv = conv.select("conv_id", formatted.alias("formatted"), pieces.alias("pieces"))
+    # spans from the start of their chunk, then moved by what stands before the chunk
+    local = F.transform(_chunks("pieces"), lambda c: F.aggregate(
+        c, F.expr(f"named_struct('at', 0, 'spans', cast(array() as array<{SPAN}>))"),
         lambda acc, p: F.struct(
             (acc["at"] + p["lead"] + p["chars"] + p["tail"]).alias("at"),
             F.when(p["loss"], F.concat(acc["spans"], F.array(F.struct(
                 (acc["at"] + p["lead"]).alias("start"), p["chars"].alias("chars")))))
-            .otherwise(acc["spans"]).alias("spans")),
-        lambda acc: acc["spans"])
-    return conv.select("conv_id", formatted.alias("formatted"), spans.alias("loss_spans"))
+            .otherwise(acc["spans"]).alias("spans"))))
+    spans = F.aggregate(
+        local, F.expr(f"named_struct('at', 0, 'spans', cast(array() as array<array<{SPAN}>>))"),
+        lambda acc, c: F.struct((acc["at"] + c["at"]).alias("at"), F.concat(acc["spans"], F.array(F.transform(
+            c["spans"], lambda x: F.struct((acc["at"] + x["start"]).alias("start"), x["chars"].alias("chars"))))
+        ).alias("spans")),
+        lambda acc: F.flatten(acc["spans"]))
+    return conv.select("conv_id", "formatted", spans.alias("loss_spans"))
+
+
+def _chunks(array: str | Column) -> Column:
+    """The array in parts of CHUNK elements."""
+    array = F.col(array) if isinstance(array, str) else array
+    at = F.when(F.size(array) > 0, F.sequence(F.lit(0), F.size(array) - 1, F.lit(CHUNK)))
+    return F.transform(F.coalesce(at, F.expr("cast(array() as array<int>)")), lambda i: F.slice(array, i + 1, CHUNK))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -83,9 +98,17 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, spans: Column) -> Column:
-    """The text under the loss mask, unescaped piece by piece."""
-    return F.array_join(F.transform(spans, lambda s: unescape(
-        F.substring(formatted, s["start"] + 1, s["chars"]))), "")
+    """The text under the loss mask, unescaped piece by piece; the spans of a chunk are cut from the
+    part of the string that holds them."""
+    def cut(part: Column) -> Column:
+        return F.array_join(F.transform(part["spans"], lambda x: unescape(
+            F.substring(part["text"], x["start"] - part["at"] + 1, x["chars"]))), "")
+
+    parts = F.transform(_chunks(spans), lambda c: F.struct(
+        F.get(c, F.lit(0))["start"].alias("at"), c.alias("spans"),
+        F.substring(formatted, F.get(c, F.lit(0))["start"] + 1, F.element_at(c, -1)["start"]
+                    + F.element_at(c, -1)["chars"] - F.get(c, F.lit(0))["start"]).alias("text")))
+    return F.array_join(F.transform(parts, cut), "")
 
 
 def op5_chat(spark, sf_dir: str) -> DataFrame:

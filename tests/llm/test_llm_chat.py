@@ -65,3 +65,16 @@ def test_query_holds_the_planted_conversation(spark):
     assert r.n_turns == 2 and r.loss_chars == len(said)
     assert r.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
     assert r.turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
+
+
+def test_conversation_of_many_turns(spark):
+    """More turns than a chunk, of alternating and of equal roles."""
+    rnd = random.Random(1)
+    rows = [(c, i, rnd.choice(roles), f"{i} <s> é" * rnd.randint(0, 2))
+            for c, n, roles in ((1, 5000, ["user", "assistant"]), (2, C.CHUNK, ["assistant"]), (3, C.CHUNK + 1, ["user"]))
+            for i in range(n)]
+    got = read(frame(spark, rows))
+    for c in (1, 2, 3):
+        mine = [(r, t) for x, _, r, t in rows if x == c]
+        assert [tuple(t) for t in got[c].turns] == mine
+        assert got[c].loss == "".join(t for r, t in mine if r == "assistant")
