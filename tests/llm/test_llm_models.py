@@ -155,6 +155,47 @@ def fitted(spark, rows):
     return Q.fit(stats)
 
 
+def test_quality_scores_by_brute_force(spark):
+    """Every score of the query from one matrix on one machine: ridge as a least-squares problem with
+    penalty rows, isotonic levels by the max-min formula over all intervals of bins."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    stats = np.array([Q.statistics(t) for _, t in docs])
+    train = np.array([rest(i, 3) != 1 and labels.get(i) is not None for i, _ in docs])
+    y = np.array([labels[i] for (i, _), use in zip(docs, train) if use], float)
+    rng = np.random.default_rng(Q.SEED)
+    directions = rng.normal(size=(Q.N_STATS, Q.FEATURES)) / np.sqrt(Q.N_STATS)
+    phases = rng.uniform(0, 2 * np.pi, Q.FEATURES)
+    mean, scale = stats[train].mean(axis=0), stats[train].std(axis=0)
+    scale[scale < 1e-12] = 1.0
+    z = np.clip((stats - mean) / scale, -6, 6)
+    z = np.column_stack([np.sqrt(2 / Q.FEATURES) * np.cos(z @ directions + phases), np.ones(len(z))])
+    penalty = np.sqrt(np.append(np.full(Q.FEATURES, Q.RIDGE), 1e-9))
+    weights = np.linalg.lstsq(np.vstack([z[train], np.diag(penalty)]), np.append(y, np.zeros(len(penalty))), rcond=None)[0]
+    raw = z @ weights
+    place = np.clip((raw[train] + 1) / 3 * Q.BINS, 0, Q.BINS - 1).astype(int)
+    used = np.unique(place)
+    n = np.array([(place == b).sum() for b in used])
+    total = np.array([y[place == b].sum() for b in used])
+    k = len(used)
+    average = np.full((k, k), np.nan)
+    for i in range(k):
+        average[i, i:] = total[i:].cumsum() / n[i:].cumsum()
+    level = np.array([max(average[i, j:].min() for i in range(j + 1)) for j in range(k)])
+    centre = (used + 0.5) / Q.BINS * 3 - 1
+    blocks = sorted(set(level))
+    knots = [np.average(centre[level == v], weights=n[level == v]) for v in blocks]
+    want = np.interp(raw, knots, blocks)
+    got = {r.doc_id: r.score for r in Q.op7_quality(spark, SMALL).collect()}
+    np.testing.assert_allclose([got[i] for i, _ in docs], want, atol=1e-6)
+
+
+def test_quality_query_on_an_empty_table(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert Q.op7_quality(spark, str(tmp_path)).count() == 0
+
+
 def test_quality_degenerate_labels(spark):
     some = np.array([Q.statistics("a few words of text"), Q.statistics(None)])
     assert fitted(spark, []).score(some).tolist() == [0.5, 0.5]
