@@ -133,3 +133,17 @@ def test_selection_moves_counts_only(spark):
     df = spark.range(100).selectExpr("cast(id AS double) AS x", "id AS payload")
     plan = Q._counted(df.selectExpr("'' AS g", "x AS x0"), 1, 42, None)._jdf.queryExecution().executedPlan().toString()
     assert "payload" not in plan and "partial_sum" in plan
+
+
+def test_statistics_of_few_keys_are_broadcast_and_rows_stay(spark, monkeypatch):
+    from shipcast.operators import split as sp
+
+    rows = spark.createDataFrame([(i, f"k{i % 5}" if i % 7 else None) for i in range(200)] * 2, "i long, k string")
+    stats = spark.createDataFrame([(f"k{i}", float(i)) for i in range(4)], "k string, v double")
+    want = sorted(((r["i"], r["k"], r["v"]) for r in rows.join(stats, "k", "left").collect()), key=str)
+    for most, hint in ((5, True), (3, False)):
+        monkeypatch.setattr(sp, "MAX_BROADCAST_KEYS", most)
+        out = sp.join_stats(rows, stats, "k")
+        assert sorted(((r["i"], r["k"], r["v"]) for r in out.collect()), key=str) == want
+        plan = out._jdf.queryExecution().analyzed().toString()
+        assert ("strategy=broadcast" in plan or "ResolvedHint" in plan) == hint
