@@ -348,8 +348,10 @@ def clip_to_own_percentiles(df: DataFrame, col: str, keys: Sequence[str], lo: fl
                             hi: float = 0.99) -> DataFrame:
     """PRJ-20: clip each value to its group's exact 1st / 99th percentile (NULLs dropped)."""
     keys = list(keys)
-    q = quantiles(df, col, {"__lo": lo, "__hi": hi}, keys)
-    v = df.select(*keys, "order_id", col).where(F.col(col).isNotNull()).join(per_flag(q, keys), keys)
+    # checkpointed: every pass of the quantiles and the result would run the joins of ``df`` again
+    v = df.select(*keys, "order_id", col).where(F.col(col).isNotNull()).checkpoint(eager=True)
+    q = quantiles(v, col, {"__lo": lo, "__hi": hi}, keys)
+    v = v.join(per_flag(q, keys), keys)
     return v.select(*keys, "order_id",
                     clip_between(col, F.col("__lo"), F.col("__hi")).alias(col))
 
