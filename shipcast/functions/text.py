@@ -63,9 +63,7 @@ def stop_words(language: str = "portuguese") -> tuple[str, ...]:
 
 def content_tokens(tokens, language: str = "portuguese") -> Column:
     """TX-02: drop stop words and tokens shorter than three characters."""
-    # ``isin`` over the literal list becomes a hash-set lookup (InSet) in the optimizer
-    sw = stop_words(language)
-    return F.filter(_c(tokens), lambda x: (F.length(x) >= MIN_TOKEN_LENGTH) & ~x.isin(*sw))
+    return F.filter(_c(tokens), lambda x: is_content(x, language))
 
 
 def content_tokens_sql(expr: str, language: str = "portuguese") -> str:
@@ -73,14 +71,24 @@ def content_tokens_sql(expr: str, language: str = "portuguese") -> str:
     return f"list_filter({expr}, lambda x: length(x) >= {MIN_TOKEN_LENGTH} AND NOT list_contains([{sw}], x))"
 
 
+def is_content(token: Column, language: str = "portuguese") -> Column:
+    """TX-02 for one token: at least three characters and no stop word."""
+    # ``isin`` over the literal list becomes a hash-set lookup (InSet) in the optimizer
+    return (F.length(token) >= MIN_TOKEN_LENGTH) & ~token.isin(*stop_words(language))
+
+
+def pieces(text) -> Column:
+    """Every token of the text, stop words and short ones too (see ``tokenise``)."""
+    return F.split(F.lower(F.coalesce(_c(text), F.lit(""))), TOKEN_SEPARATORS)
+
+
 def tokenise(text, language: str = "portuguese") -> Column:
     """TX-01 + TX-02: content tokens of the normalised text. Same tokens as splitting the
     normalised text on spaces, but one regex split instead of three replacements: the
     characters that normalisation keeps inside tokens are letters, non-decimal numbers and
     underscore; every run of anything else separates tokens (empty pieces are shorter than
     the minimum length and drop out)."""
-    t = F.lower(F.coalesce(_c(text), F.lit("")))
-    return content_tokens(F.split(t, TOKEN_SEPARATORS), language)
+    return content_tokens(pieces(text), language)
 
 
 def tokenise_sql(expr: str, language: str = "portuguese") -> str:

@@ -65,11 +65,13 @@ def review_tokens(reviews: DataFrame) -> DataFrame:
     return reviews.select("*", tx.tokenise("review_comment_message").alias("tokens"))
 
 
-def word_counts(tokenised: DataFrame, keys: Sequence[str] = ("subset",)) -> DataFrame:
-    """TX-03: token frequency per subset (every word)."""
+def word_counts(reviews: DataFrame, keys: Sequence[str] = ("subset",)) -> DataFrame:
+    """TX-03: frequency of the content tokens per subset (every word). All tokens are counted; stop
+    words and short ones are dropped from the counted words, not looked up for every mention."""
     keys = list(keys)
-    return (tokenised.select(*keys, F.explode("tokens").alias("word"))
-            .groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("count")))
+    counted = (reviews.select(*keys, F.explode(tx.pieces("review_comment_message")).alias("word"))
+               .groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("count")))
+    return counted.where(tx.is_content(F.col("word")))
 
 
 def top_words(counts: DataFrame, subsets: Sequence[str] = ("bad", "good"), k: int = TOP_WORDS) -> DataFrame:
