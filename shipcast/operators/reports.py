@@ -313,7 +313,7 @@ def first_item_seller(items: DataFrame) -> DataFrame:
 
 def delivered_with_states(m: Market) -> DataFrame:
     """JN-13: delivered orders with the first item's seller, seller state, customer state."""
-    d = delivered_status_orders(m.orders).join(first_item_seller(m.items), "order_id", "left")
+    d = m.by_order(delivered_status_orders(m.orders)).join(first_item_seller(m.lines), "order_id", "left")
     d = d.join(m.sellers.select("seller_id", "seller_state"), "seller_id", "left")
     return d.join(m.customers.select("customer_id", "customer_state"), "customer_id", "left")
 
@@ -377,20 +377,32 @@ def seasonality(delivered: DataFrame) -> DataFrame:
 def seller_table(m: Market) -> DataFrame:
     """AG-36/37/38 + JN-15: seller orders, revenue, price, first/last order, review mean and
     count (item grain), late rate and delivered count, tenure."""
-    so = m.items.select("order_id", "seller_id", "price").join(
-        m.orders.select("order_id", "order_purchase_timestamp", "order_status"), "order_id")
-    stats = so.groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("total_orders"), F.sum("price").alias("total_revenue"),
-        F.avg("price").alias("avg_order_value"),
-        F.min("order_purchase_timestamp").alias("first_order"),
-        F.max("order_purchase_timestamp").alias("last_order"))
-    rev = (m.items.select("order_id", "seller_id").join(reviews_per_order(m.review_scores), "order_id", "left")
-           .groupBy("seller_id").agg(F.avg("review_score").alias("avg_review_score"),
-                                     F.count("review_score").alias("review_count")))
+    # a row per order and seller, so that orders are counted instead of kept in a distinct set; the lines
+    # are dealt by order before anything is grouped, no task groups what a file happens to hold
+    pairs = m.lines.groupBy("order_id", "seller_id").agg(
+        F.sum("price").alias("__price"), F.count("price").alias("__prices"), F.count(F.lit(1)).alias("__items"))
+    orders = m.by_order(m.orders.select("order_id", "order_purchase_timestamp")).groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("__orders"), F.min("order_purchase_timestamp").alias("__first"),
+        F.max("order_purchase_timestamp").alias("__last"))
+    scores = reviews_per_order(m.by_order(m.review_scores.select("order_id", "review_score")))
+    p = pairs.join(orders, "order_id", "left").join(scores, "order_id", "left")
+    # an item counts once for every row of its order; a review score once for every item
+    known, scored = F.col("__orders").isNotNull(), F.col("review_score").isNotNull() & F.col("seller_id").isNotNull()
+    stats = p.groupBy("seller_id").agg(
+        F.count_if(known).alias("total_orders"), F.sum(F.col("__price") * F.col("__orders")).alias("total_revenue"),
+        F.sum(F.col("__prices") * F.col("__orders")).alias("__prices"),
+        F.min("__first").alias("first_order"), F.max("__last").alias("last_order"),
+        F.sum(F.when(scored, F.col("review_score") * F.col("__items"))).alias("__score"),
+        F.sum(F.when(scored, F.col("__items"))).alias("__scores")).where(F.col("total_orders") > 0)
+    stats = stats.select(
+        "seller_id", "total_orders", "total_revenue",
+        F.when(F.col("__prices") > 0, F.col("total_revenue") / F.col("__prices")).alias("avg_order_value"),
+        "first_order", "last_order", (F.col("__score") / F.col("__scores")).alias("avg_review_score"),
+        F.when(F.col("seller_id").isNotNull(), F.coalesce("__scores", F.lit(0))).alias("review_count"))
     late = (delivered_with_states(m).where(F.col("seller_id").isNotNull()).groupBy("seller_id")
             .agg(F.avg(F.col("is_late").cast("double")).alias("late_rate"),
                  F.count("order_id").alias("delivered_count")))
-    out = stats.join(rev, "seller_id", "left").join(late, "seller_id", "left")
+    out = stats.join(late, "seller_id", "left")
     return out.withColumn("tenure_days", t.floor_days("last_order", "first_order"))
 
 
