@@ -276,10 +276,12 @@ def delay_bucket_scores(df_rev: DataFrame) -> DataFrame:
 def order_first_category(m: Market) -> DataFrame:
     """PRJ-15 + W-02: per order the first non-NULL category (English name, native name if
     untranslated) and the first non-NULL product weight, in item order."""
-    prods = m.products.join(m.translation, "product_category_name", "left").select(
+    # a category list is bounded
+    prods = m.products.join(F.broadcast(m.translation), "product_category_name", "left").select(
         "product_id", F.coalesce("product_category_name_english", "product_category_name")
         .alias("category"), "product_weight_g")
-    ip = m.items.join(prods, "product_id", "left")
+    ip = m.by_order(m.lines.join(prods, "product_id", "left").select(
+        "order_id", "order_item_id", "category", "product_weight_g"))
 
     def first(c: str) -> Column:
         return F.min_by(F.when(F.col(c).isNotNull(), F.col(c)),
