@@ -208,7 +208,10 @@ def fingerprint_links(classes: DataFrame, large: int = LARGE) -> DataFrame:
         sizes = checkpointed(members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
         members = members.join(sizes, keys)
         most = F.lit(True) if key == "k3" else F.col("n") <= large
-        ready = members.where(most).select("fp", *keys).repartition(*keys).sortWithinPartitions(*keys)
+        # dealt by a hash of its own: rows already dealt by the keys are not shuffled again, and if the join above then
+        # turns into a broadcast, its shuffle is read where it was written and buckets fall apart
+        ready = (members.where(most).select("fp", *keys).repartition(F.xxhash64(*keys))
+                 .sortWithinPartitions(*keys))
         links = ready.mapInArrow(_links, "u long, v long")
         found = links if found is None else found.unionByName(links)
         if key == "k3" or not sizes.where(F.col("n") > large).limit(1).count():

@@ -131,3 +131,20 @@ def test_query_over_the_whole_table(spark):
     want = brute([(int(d), t) for d, t in zip(docs["doc_id"], docs["text"])])
     assert sorted(((r["doc_id"], int(r["fingerprint"], 16), r["component_id"]) for r in got), key=str) == want
     assert all(len(r["fingerprint"]) == 16 and r["fingerprint"].islower() or r["fingerprint"].isdigit() for r in got)
+
+
+def test_buckets_stay_whole_where_the_join_turns_into_a_broadcast(spark):
+    """As on larger tables: partitions are not merged into one, and bucket sizes turn out small enough to broadcast."""
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 2**64, 500, dtype=np.uint64)
+    near = x ^ (np.uint64(1) << rng.integers(0, 64, 500, dtype=np.uint64))
+    rows = [(v,) for v in [*x.view(np.int64).tolist(), *near.view(np.int64).tolist()]]
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        classes = spark.createDataFrame(rows, "fp long").repartition(4).distinct()
+        roots = {r["node"]: r["root"] for r in S.components(S.fingerprint_links(classes)).collect()}
+    finally:
+        spark.conf.set(setting, before)
+    assert all(roots.get(a, a) == roots.get(b, b) for a, b in zip(x.view(np.int64).tolist(), near.view(np.int64).tolist()))
