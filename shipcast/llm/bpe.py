@@ -19,10 +19,8 @@ import threading
 from collections.abc import Iterator
 from itertools import chain
 
-import duckdb
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,6 +105,9 @@ class Codec:
     """One vocabulary in one process: ranks (token bytes -> id), the pattern, and the tables."""
 
     def __init__(self, rank_file: bytes, pattern: str):
+        import duckdb       # found when first used: importing the package takes no module that Spark does not need
+        import regex
+
         lines = (line.split() for line in rank_file.splitlines() if line.strip())
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.pattern = regex.compile(pattern)

@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +58,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str | None, memo: dict[bytes, int]) -> np.ndarray:
     """The sorted distinct shingle hashes of one whole text; empty without words."""
+    import xxhash       # found when first used
+
     words = (text or "").encode("utf-8", "replace").lower().split()     # bytes: ASCII rules only
     if not words:
         return np.zeros(0, _U)

@@ -18,7 +18,6 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +41,8 @@ _ALL = np.uint64(2**64 - 1)
 def fingerprint(text: str | None) -> int:
     """The signed 64-bit SimHash of a whole text: a bit is 1 if it is set in over half the hashes
     of the shingles, repeats included; 0 without words."""
+    import xxhash       # found when first used
+
     words = (text or "").encode("utf-8", "replace").lower().split()     # bytes: ASCII rules only
     if not words:
         return 0
